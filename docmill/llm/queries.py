@@ -6,16 +6,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import tokens
+from docmill.llm import markup, sitelines, split, tokens
 
 
 def p1_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_budget(tokens.corpus_slices(spark, sf_dir))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.found_families(spark.read.parquet(f"{sf_dir}/parsed.parquet"))
+
+
+def p2_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.clean_documents(spark.read.parquet(f"{sf_dir}/parsed.parquet").select("id", "source", "ingested_at", "text"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.found_oversized(split.sized_items(spark, sf_dir))
+
+
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.split_corpus(spark, sf_dir)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitelines.found_lines(spark.read.parquet(f"{sf_dir}/parsed.parquet"))
+
+
+def p5_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections = spark.read.parquet(f"{sf_dir}/parsed.parquet").select("id", "source", "doc", "ingested_at", "text")
+    return sitelines.remove_lines(sections, sitelines.found_lines(sections))
+
+
+def p5_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections = spark.read.parquet(f"{sf_dir}/parsed.parquet")
+    return sitelines.extend_sequences(sitelines.frequent_lines(sitelines.line_table(sections)))
+
+
+P3_FOUND_SQL = """
+SELECT DISTINCT 'chunk' AS kind, id FROM chunks
+WHERE metadata.configuration.budget = 'characters' AND length(text) > metadata.configuration.size
+UNION
+SELECT DISTINCT 'section' AS kind, id FROM parsed WHERE length(text) > 2400
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_token_budget": p1_token_budget}
+    names = """
+        p1_token_budget p2_found p2_clean_text p3_found p3_pieces p5_found p5_clean_text p5_sequences
+    """.split()
+    return {name: globals()[name] for name in names}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p3_found": P3_FOUND_SQL}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import markup, sitelines, split, tokens
+from docmill.llm import knn, markup, neardup, sitelines, split, tokens
 
 
 def p1_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,18 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_corpus(spark, sf_dir)
 
 
+def _similar_sections(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
+    return neardup.NearDuplicates(spark.read.parquet(f"{sf_dir}/parsed.parquet"), words=3, threshold=0.6, min_words=30)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _similar_sections(spark, sf_dir).id_pairs()
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _similar_sections(spark, sf_dir).groups()
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitelines.found_lines(spark.read.parquet(f"{sf_dir}/parsed.parquet"))
 
@@ -43,6 +55,19 @@ def p5_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitelines.extend_sequences(sitelines.frequent_lines(sitelines.line_table(sections)))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.found_pairs(spark.read.parquet(f"{sf_dir}/points.parquet"))
+
+
+def p6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.nearest_vectors(spark.read.parquet(f"{sf_dir}/points.parquet"))
+
+
+def p6_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = spark.read.parquet(f"{sf_dir}/points.parquet")
+    return knn.recall_report(points, knn.nearest_vectors(points))
+
+
 P3_FOUND_SQL = """
 SELECT DISTINCT 'chunk' AS kind, id FROM chunks
 WHERE metadata.configuration.budget = 'characters' AND length(text) > metadata.configuration.size
@@ -53,7 +78,8 @@ SELECT DISTINCT 'section' AS kind, id FROM parsed WHERE length(text) > 2400
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = """
-        p1_token_budget p2_found p2_clean_text p3_found p3_pieces p5_found p5_clean_text p5_sequences
+        p1_token_budget p2_found p2_clean_text p3_found p3_pieces p4_found p4_groups
+        p5_found p5_clean_text p5_sequences p6_found p6_nearest p6_recall
     """.split()
     return {name: globals()[name] for name in names}
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import knn, markup, neardup, sitelines, split, tokens
+from docmill.llm import knn, markup, mixing, neardup, packing, sitelines, split, tokens, toxicity
 
 
 def p1_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,50 @@ def p6_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.recall_report(points, knn.nearest_vectors(points))
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    capacities = spark.read.parquet(f"{sf_dir}/capacities.parquet")
+    return packing.pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), capacities), capacities
+
+
+def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)[0]
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(*_packed(spark, sf_dir))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple]]:
+    sized = packing.sized_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    plan = mixing.mixing_plan(sized, spark.read.parquet(f"{sf_dir}/mix_targets.parquet"))
+    return mixing.mix_documents(sized, plan), plan
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares_report(*_mixed(spark, sf_dir))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return toxicity.score_documents(read("documents").select("doc_id", "source", "text"), read("review_labels"), read("flag_terms"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.found_content(_scored(spark, sf_dir))
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir)
+
+
+def p9_source_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.source_rates(_scored(spark, sf_dir))
+
+
 P3_FOUND_SQL = """
 SELECT DISTINCT 'chunk' AS kind, id FROM chunks
 WHERE metadata.configuration.budget = 'characters' AND length(text) > metadata.configuration.size
@@ -80,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = """
         p1_token_budget p2_found p2_clean_text p3_found p3_pieces p4_found p4_groups
         p5_found p5_clean_text p5_sequences p6_found p6_nearest p6_recall
+        p7_packing p7_report p8_mixture p8_shares p9_found p9_scores p9_source_rates
     """.split()
     return {name: globals()[name] for name in names}
 

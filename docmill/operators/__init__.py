@@ -1 +1 @@
-"""Operators of docmill."""
+"""Operators over documents, sections, chunks and vectors."""

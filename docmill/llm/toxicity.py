@@ -23,9 +23,7 @@ from pyspark.sql import functions as F
 CATEGORIES = ("abuse", "hate", "sexual")
 #: Labelled documents that are fitted on at most, those with the smallest hash of their id.
 MAX_TRAINING_DOCS = 12_000
-#: Characters of a labelled document that are read for fitting (scoring reads all).
-MAX_TRAINING_CHARS = 200_000
-#: Hint terms that are used at most (the shortest first).
+#: Rows of the table of hint terms, which every task holds.
 MAX_TERMS = 5_000
 HASH_BITS = 20
 EPOCHS = 3
@@ -249,13 +247,15 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_docs: int = MAX_T
     order = Window.partitionBy("doc_id").orderBy(F.desc("votes"), F.col("label") == "none", "label")
     chosen = votes.withColumn("n", F.row_number().over(order)).filter("n = 1").select("doc_id", "label")
     sample = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    texts = documents.filter(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, MAX_TRAINING_CHARS).alias("text"))
+    texts = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
     return texts.join(sample, "doc_id").dropDuplicates(["doc_id"])
 
 
 def trained_weights(documents: DataFrame, labels: DataFrame, terms: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> tuple[list[tuple[str, str]], np.ndarray, np.ndarray, np.ndarray]:
     """Hint terms, indexes, weights and bias, fitted in one task over the bounded sample."""
-    hints = [(r.term, r.category) for r in terms.filter("term IS NOT NULL AND category IS NOT NULL").select("term", "category").distinct().orderBy(F.length("term"), "term", "category").limit(MAX_TERMS).collect()]
+    hints = [(r.term, r.category) for r in terms.filter("term IS NOT NULL AND category IS NOT NULL").select("term", "category").distinct().orderBy("term", "category").limit(MAX_TERMS + 1).collect()]
+    if len(hints) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} hint terms")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]

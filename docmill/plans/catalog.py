@@ -1,15 +1,400 @@
-"""Queries over the reference tables, one per operator, with their SQL."""
+"""Queries over the reference tables, one or more per operator, with their SQL.
+
+Every query reads its whole tables. Where the operator is a kernel over one text
+(rendering, sectioning, splitting) there is no SQL; those are tested against
+plain forms and invariants.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from docmill.functions import expressions as ex
+from docmill.functions.identity import content_hash, point_id
+from docmill.operators import artifacts, chunking, embedding, retrieval, sections, vindex
+from docmill.sources import crawl, scan
+from docmill.sources.config import Source
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+# The characters that a strip takes for white space, as a class of the SQL engine's patterns.
+_WS = r"[\s\x{1c}-\x{1f}\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ORDER = r"regexp_extract(id, ':(\d{1,15})$', 1)::BIGINT"
+_ONCE = "(SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingested_at) = 1)"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(function: Query) -> Query:
+        _QUERIES[function.__name__] = function
+        if sql is not None:
+            _SQL[function.__name__] = sql
+        return function
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- acquisition and scan
+
+
+@query(r"""SELECT DISTINCT regexp_extract(doc, '[^/]*$') AS page FROM (SELECT 'class' || regexp_replace(doc, '^.*/', '') AS doc FROM audit UNION ALL SELECT regexp_replace(doc, '^.*/', '') FROM audit UNION ALL SELECT 'struct' || doc || '-members.html' FROM audit)
+WHERE doc LIKE '%.html' AND regexp_matches(regexp_extract(doc, '[^/]*$'), '^(class|struct|namespace)') AND doc NOT LIKE '%-members.html' AND NOT starts_with(regexp_extract(doc, '[^/]*$'), 'namespacemembers_')""")
+def page_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = F.col("doc")
+    names = _read(spark, sf_dir, "audit").select(F.explode(F.array(F.concat(F.lit("class"), F.regexp_replace(doc, "^.*/", "")), F.regexp_replace(doc, "^.*/", ""), F.concat(F.lit("struct"), doc, F.lit("-members.html")))).alias("doc"))
+    page = F.regexp_extract("doc", "[^/]*$", 0)
+    return names.select(page.alias("page")).filter(ex.keeps_reference_page(F.col("page"))).distinct()
+
+
+@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all('<a href="' || url || '">' || coalesce(text, '') || '<a href="' || url || '"> <a href="#' || doc_id || '">', 'href="([^"]+)"', 1))), '|') AS links FROM documents WHERE url IS NOT NULL""")
+def href_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    page = F.concat(F.lit('<a href="'), url, F.lit('">'), F.coalesce("text", F.lit("")), F.lit('<a href="'), url, F.lit('"> <a href="#'), F.col("doc_id"), F.lit('">'))
+    return _read(spark, sf_dir, "documents").filter(url.isNotNull()).select("doc_id", F.array_join(ex.links_in(page), "|").alias("links"))
+
+
+@query("""SELECT DISTINCT doc AS path, 'https://raw.example/' || sha256 || '/' || doc AS url FROM audit WHERE sha256 IS NOT NULL AND (starts_with(doc, 'ref/') OR starts_with(doc, 'howto/')) AND (doc LIKE '%.md' OR doc LIKE '%.cpp')""")
+def tree_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = _read(spark, sf_dir, "audit").filter("sha256 IS NOT NULL").select(
+        F.to_json(F.struct(F.col("sha256").alias("sha"), F.lit(False).alias("truncated"), F.array(F.struct(F.col("doc").alias("path"), F.lit("blob").alias("type"))).alias("tree"))).alias("json")
+    )
+    return crawl.tree_files(listing, ["ref/", "howto/"], [".md", ".cpp"], "https://raw.example").distinct()
+
+
+@query("""SELECT count(*) AS files, round(coalesce(sum(strlen(text)), 0) / 1e6, 6) AS megabytes FROM documents WHERE text IS NOT NULL""")
+def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select(F.col("text").alias("content"))
+    return crawl.corpus_size(files).select("files", F.round("megabytes", 6).alias("megabytes"))
+
+
+@query(r"""SELECT a.source, a.doc, array_to_string(list_sort(list(DISTINCT g.glob)), '|') AS patterns FROM (SELECT source, regexp_replace(doc, '^skipped/', '') AS doc FROM audit UNION ALL SELECT name, unnest(['index.md', 'event-' || name || '.md', 'search.md', 'a/search.md']) FROM sources) a
+JOIN (SELECT name, unnest("exclude") AS glob FROM sources) g ON g.name = a.source
+WHERE regexp_full_match(a.doc, replace(replace(regexp_replace(g.glob, '([.\\+^$(){}|\[\]])', '\\\1', 'g'), '*', '.*'), '?', '.'), 's') GROUP BY a.source, a.doc""")
+def source_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = _read(spark, sf_dir, "sources")
+    seen = _read(spark, sf_dir, "audit").select("source", F.regexp_replace("doc", "^skipped/", "").alias("doc"))
+    more = sources.select(F.col("name").alias("source"), F.explode(F.array(F.lit("index.md"), F.concat(F.lit("event-"), "name", F.lit(".md")), F.lit("search.md"), F.lit("a/search.md"))).alias("doc"))
+    return scan.exclusion_report(seen.unionByName(more), sources).select("source", "doc", F.array_join("patterns", "|").alias("patterns"))
+
+
+@query(r"""SELECT a.audit_id, replace(replace(s.url, '{path}', a.doc), '{page}', CASE WHEN stem = 'index' OR stem LIKE '%/index' THEN regexp_replace(stem, 'index$', '') ELSE stem || '/' END) AS url
+FROM (SELECT *, regexp_replace(doc, '([^/])\.[^./]+$', '\1') AS stem FROM audit) a JOIN sources s ON s.name = a.source WHERE a.doc IS NOT NULL""")
+def doc_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = _read(spark, sf_dir, "sources").select(F.col("name").alias("source"), "url")
+    return _read(spark, sf_dir, "audit").filter("doc IS NOT NULL").join(sources, "source").select("audit_id", ex.document_url(F.col("url"), F.col("doc")).alias("url"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL")
+def content_sha256(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", content_hash(F.col("text")).alias("sha256"))
+
+
+# ---- conversion
+
+
+@query(r"""SELECT id, len(parts) - CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END AS n_lines FROM (SELECT id, string_split_regex(text, '\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]') AS parts FROM parsed)""")
+def line_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "parsed").select("id", F.size(ex.lines_of(F.col("text"))).alias("n_lines"))
+
+
+@query(rf"""SELECT id, regexp_replace(regexp_replace(trim(regexp_replace(text, '{_WS}+', ' ', 'g')), ' +([(),])', '\1', 'g'), '\( +', '(', 'g') AS line FROM parsed""")
+def one_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "parsed").select("id", ex.one_line(F.col("text")).alias("line"))
+
+
+@query(r"""SELECT id, '# ' || doc || chr(10) || chr(10) || fence || CASE WHEN regexp_matches(doc, '\.(cpp|hpp)$') THEN 'cpp' ELSE 'text' END || chr(10) || rtrim(text, chr(10)) || chr(10) || fence || chr(10) AS markdown
+FROM (SELECT *, repeat('`', greatest(3, coalesce(list_max(list_transform(regexp_extract_all(text, '`+'), lambda x: length(x))), 0) + 1)::INT) AS fence FROM parsed) t""")
+def code_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "parsed").select("id", ex.code_document(F.col("doc"), F.col("text")).alias("markdown"))
+
+
+@query(r"""SELECT DISTINCT id, trim(regexp_extract('<html><head><title> ' || metadata.title || ' </title></head>', '<title>(.*?)</title>', 1)) AS title FROM parsed WHERE metadata.title IS NOT NULL""")
+def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = F.concat(F.lit("<html><head><title> "), F.col("metadata.title"), F.lit(" </title></head>"))
+    return _read(spark, sf_dir, "parsed").filter("metadata.title IS NOT NULL").select("id", F.trim(F.regexp_extract(page, "<title>(.*?)</title>", 1)).alias("title")).distinct()
+
+
+def _parse(spark: SparkSession, sf_dir: str, kind: str, before: str = "", after: str = "") -> DataFrame:
+    """Every section text read as a document of its own."""
+    source = Source("all", kind, ".", "https://docs.example/{page}" if kind == "markdown" else "https://docs.example/{path}", flatten=["div.signature"] if kind == "html" else [], drop=["nav"] if kind == "html" else [])
+    suffix = {"html": ".html", "markdown": ".md", "code": ".cpp"}[kind]
+    documents = _read(spark, sf_dir, "parsed").select(F.lit("all").alias("source"), F.concat("id", F.lit(suffix)).alias("doc"), F.encode(F.concat(F.lit(before), "text", F.lit(after)), "UTF-8").alias("content"))
+    return sections.parse_documents(documents, [source])
+
+
+@query()
+def parse_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.sections_of(_parse(spark, sf_dir, "markdown"))
+
+
+@query()
+def parse_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.sections_of(_parse(spark, sf_dir, "html", "<html><head><title>Page</title></head><body>", "</body></html>"))
+
+
+@query("SELECT doc, 'parsed' AS status, sha AS sha256, n AS replacement_characters FROM (SELECT id || '.cpp' AS doc, sha256(text) AS sha, length(text) - length(replace(text, chr(65533), '')) AS n FROM parsed)")
+def parse_code_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.audit_of(_parse(spark, sf_dir, "code")).select("doc", "status", "sha256", "replacement_characters")
+
+
+@query()
+def parse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "parsed").filter("metadata.page IS NOT NULL").dropDuplicates(["id"])
+    names = rows.select("source").distinct().limit(1000).collect()  # the table of sources is fixed
+    pages = rows.select("source", "doc", F.coalesce("metadata.document_sha256", F.lit("")).alias("sha256"), F.lit(None).cast("string").alias("title"), "metadata.page", "text")
+    return sections.parse_pages(pages, [Source(r.source, "pdf", ".", "https://docs.example/{path}") for r in names])
+
+
+# ---- sections
+
+
+_LEVELS = ", ".join(f"CASE WHEN len(h) >= {k} AND page % 6 < {k} THEN h[{k}] END AS h{k}" for k in range(1, 7))
+_TOP = "CASE " + " ".join(f"WHEN h{k} IS NOT NULL THEN {k}" for k in range(1, 7)) + " ELSE 7 END"
+_CARRY = ", ".join(f"last_value(CASE WHEN top <= {k} THEN struct_pack(v := h{k}) END IGNORE NULLS) OVER w AS c{k}" for k in range(1, 7))
+
+
+@query(f"""WITH base AS (SELECT id, source, doc, metadata.page AS page, {_ORDER} AS seq, coalesce(metadata.headings, []) AS h FROM parsed WHERE metadata.page IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingested_at) = 1),
+levels AS (SELECT id, source, doc, page, seq, {_LEVELS} FROM base), marked AS (SELECT *, {_TOP} AS top FROM levels),
+carried AS (SELECT id, {_CARRY} FROM marked WINDOW w AS (PARTITION BY source, doc ORDER BY page, seq ROWS UNBOUNDED PRECEDING))
+SELECT id, {' || '.join(f"coalesce(c{k}.v || '>', '-')" for k in range(1, 7))} AS headings FROM carried""")
+def heading_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _read(spark, sf_dir, "parsed").filter("metadata.page IS NOT NULL").dropDuplicates(["id"])
+    page, heads = F.col("metadata.page"), F.coalesce("metadata.headings", F.array().cast("array<string>"))
+    levels = F.array(*(F.when((F.size(heads) >= k) & (page % 6 < k), F.get(heads, F.lit(k - 1))) for k in range(1, 7)))
+    rows = base.select("id", "source", "doc", page.alias("page"), F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint").alias("seq"), levels.alias("levels"))
+    joined = F.concat(*(F.coalesce(F.concat(F.get("carried", F.lit(k)), F.lit(">")), F.lit("-")) for k in range(6)))
+    return sections.carry_headings(rows).select("id", joined.alias("headings"))
+
+
+@query(rf"""SELECT id, array_to_string(list_transform(metadata.headings, lambda h: regexp_replace(regexp_replace(regexp_replace('*<b>' || h || '</b>*', '\*\*|`|</?(?:span|em|strong|b|i)(?:\s[^>]*)?>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g'), '^\*(.+)\*$', '\1')), '|') AS headings FROM parsed WHERE metadata.headings IS NOT NULL""")
+def heading_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = F.transform("metadata.headings", lambda h: ex.heading_text(F.concat(F.lit("*<b>"), h, F.lit("</b>*"))))
+    return _read(spark, sf_dir, "parsed").filter("metadata.headings IS NOT NULL").select("id", F.array_join(heads, "|").alias("headings"))
+
+
+@query(rf"""SELECT id, source || '/' || doc || '@' || substr(coalesce(metadata.document_sha256, ''), 1, 16) || '#' || coalesce(metadata.anchor, 'key') || ':' || (row_number() OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - 1) AS rebuilt FROM {_ONCE}""")
+def section_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = _read(spark, sf_dir, "parsed").dropDuplicates(["id"])
+    number = Window.partitionBy("source", "doc").orderBy(F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint"))
+    m = F.col("metadata")
+    rebuilt = F.concat("source", F.lit("/"), "doc", F.lit("@"), F.substring(F.coalesce(m["document_sha256"], F.lit("")), 1, 16), F.lit("#"), F.coalesce(m["anchor"], F.lit("key")), F.lit(":"), F.row_number().over(number) - 1)
+    return flat.select("id", rebuilt.alias("rebuilt"))
+
+
+@query("SELECT metadata.source AS source, metadata.doc AS doc, count(*) AS sections, sum(length(text) - length(replace(text, chr(65533), ''))) AS replacement_characters FROM parsed GROUP BY ALL")
+def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.audit_sections(_read(spark, sf_dir, "parsed"))
+
+
+@query("SELECT metadata.source AS source, count(DISTINCT metadata.doc) AS docs, count(*) AS sections, sum(length(text)) AS chars FROM parsed GROUP BY ALL")
+def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.source_summary(_read(spark, sf_dir, "parsed"))
+
+
+@query(f"""SELECT a.source, a.doc FROM audit a ANTI JOIN parsed p ON p.source = a.source AND p.doc = a.doc WHERE a.status = 'parsed'
+UNION ALL SELECT a.source, a.doc FROM audit a JOIN (SELECT source, doc, count(*) AS n FROM {_ONCE} GROUP BY ALL) p USING (source, doc) WHERE a.sections IS NOT NULL AND a.sections <> p.n""")
+def audit_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = _read(spark, sf_dir, "audit")
+    counts = sections.audit_sections(_read(spark, sf_dir, "parsed").dropDuplicates(["id"])).select("source", "doc", F.col("sections").alias("n"))
+    joined = audit.join(counts, ["source", "doc"], "left")
+    return joined.filter(((F.col("status") == "parsed") & F.col("n").isNull()) | (F.col("sections") != F.col("n"))).select("source", "doc")
+
+
+# ---- structure and chunks
+
+
+@query(r"""WITH RECURSIVE lines AS (SELECT id, generate_subscripts(l, 1) AS k, unnest(l) AS line FROM (SELECT id, string_split_regex(text, '\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]') AS l FROM (SELECT DISTINCT id, text FROM parsed))),
+marks AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY k) AS k, regexp_extract(line, '^ {0,3}(`{3,}|~{3,})', 1) AS mark, regexp_matches(line, '^ {0,3}(`{3,}|~{3,})\s*$') AS bare FROM lines WHERE regexp_matches(line, '^ {0,3}(`{3,}|~{3,})')),
+scan AS (SELECT id, 0::BIGINT AS k, '' AS run FROM (SELECT DISTINCT id FROM parsed) UNION ALL
+SELECT s.id, m.k, CASE WHEN s.run = '' THEN m.mark WHEN starts_with(m.mark, s.run) AND m.bare THEN '' ELSE s.run END FROM scan s JOIN marks m ON m.id = s.id AND m.k = s.k + 1)
+SELECT id, arg_max(run, k) AS run FROM scan GROUP BY id""")
+def fence_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "parsed").select("id", "text").distinct().select("id", ex.fence_run_after(F.col("text")).alias("run"))
+
+
+@query(rf"""SELECT id, sum(length(text) + 2) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - length(text) - 2 AS "begin", length(text) AS length FROM {_ONCE} WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''""")
+def document_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.section_offsets(_read(spark, sf_dir, "parsed")).select("id", "begin", "length")
+
+
+@query(r"""WITH RECURSIVE units AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS k, length(line) AS n FROM (SELECT doc_id, generate_subscripts(l, 1) AS k, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)) WHERE line <> ''),
+pack AS (SELECT doc_id, k, n AS open, 1 AS grp FROM units WHERE k = 1 UNION ALL
+SELECT u.doc_id, u.k, CASE WHEN p.open + 2 + u.n <= 600 THEN p.open + 2 + u.n ELSE u.n END, CASE WHEN p.open + 2 + u.n <= 600 THEN p.grp ELSE p.grp + 1 END FROM pack p JOIN units u ON u.doc_id = p.doc_id AND u.k = p.k + 1),
+groups AS (SELECT doc_id, grp, max_by(open, k) AS size FROM pack GROUP BY ALL)
+SELECT doc_id, array_to_string(list(size ORDER BY grp), ',') AS sizes FROM groups GROUP BY doc_id""")
+def greedy_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = F.transform(F.filter(F.split("text", "\n"), lambda line: line != ""), F.length)
+    docs = _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", lengths.alias("lengths")).filter(F.size("lengths") > 0)
+    return docs.select("doc_id", F.array_join(ex.greedy_groups(F.col("lengths"), 600).cast("array<string>"), ",").alias("sizes"))
+
+
+@query("""SELECT id, array_to_string(list_concat([metadata.title], CASE WHEN len(metadata.headings) > 0 AND metadata.headings[1] = metadata.title THEN metadata.headings[2:] ELSE metadata.headings END), ' > ') AS header FROM chunks WHERE metadata.title IS NOT NULL AND metadata.headings IS NOT NULL""")
+def chunk_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "chunks").filter("metadata.title IS NOT NULL AND metadata.headings IS NOT NULL")
+    return rows.select("id", ex.chunk_header(F.col("metadata.title"), F.col("metadata.headings")).alias("header"))
+
+
+@query(f"""WITH pairs AS (SELECT id, metadata.headings AS a, lag(metadata.headings) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) AS b FROM {_ONCE})
+SELECT id, array_to_string(a[1:coalesce(list_position(list_transform(range(1, least(len(a), len(b)) + 1), lambda k: a[k] IS DISTINCT FROM b[k]), true) - 1, least(len(a), len(b)))], '|') AS prefix FROM pairs WHERE a IS NOT NULL AND b IS NOT NULL""")
+def common_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("source", "doc").orderBy(F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint"))
+    pairs = _read(spark, sf_dir, "parsed").dropDuplicates(["id"]).select("id", F.col("metadata.headings").alias("a"), F.lag("metadata.headings").over(order).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+    return pairs.select("id", F.array_join(ex.common_prefix(F.array("a", "b")), "|").alias("prefix"))
+
+
+def _flat_chunks(chunks: DataFrame) -> DataFrame:
+    m = F.col("metadata")
+    return chunks.select("id", "text", "body", F.array_join(m["headings"], " > ").alias("headings"), m["url"].alias("url"), m["page"].alias("page"), F.array_join(m["sections"], "|").alias("sections"))
+
+
+@query()
+def chunk_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_chunks(chunking.chunk_structured(_read(spark, sf_dir, "parsed"), strict=False))
+
+
+@query()
+def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_chunks(chunking.chunk_recursive(_read(spark, sf_dir, "parsed")))
+
+
+@query(rf"""WITH flat AS (SELECT source, doc, id, length(text) AS length, sum(length(text) + 2) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - length(text) - 2 AS begin FROM {_ONCE} WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''),
+pieces AS (SELECT source, doc, piece, piece * 1000 - CASE WHEN piece > 0 THEN 100 ELSE 0 END AS start, piece * 1000 + 1000 AS stop FROM (SELECT source, doc, unnest(range(0, (sum(length + 2) // 1000)::BIGINT + 1)) AS piece FROM flat GROUP BY source, doc))
+SELECT p.piece, s.id, greatest(0, p.start - s.begin) AS span_start, least(s.length, p.stop - s.begin) AS span_end FROM pieces p JOIN flat s ON p.source = s.source AND p.doc = s.doc AND s.begin < p.stop AND s.begin + s.length > p.start""")
+def coverage_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    offsets = chunking.section_offsets(_read(spark, sf_dir, "parsed"))
+    sizes = offsets.groupBy("source", "doc").agg(F.sum(F.col("length") + 2).alias("size"))
+    pieces = sizes.select("source", "doc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("size div 1000"))).alias("piece"))
+    windows = pieces.select("source", "doc", "piece", (F.col("piece") * 1000 - F.when(F.col("piece") > 0, 100).otherwise(0)).alias("start"), (F.col("piece") * 1000 + 1000).alias("stop"))
+    return chunking.coverage(windows, offsets).select("piece", "id", "span_start", "span_end")
+
+
+@query("SELECT count(*) AS chunks, list_sort(list(length(text)))[count(*) // 2 + 1] AS median, max(length(text)) AS max FROM chunks WHERE text IS NOT NULL")
+def chunk_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.length_statistics(_read(spark, sf_dir, "chunks"))
+
+
+@query(f"""SELECT problem, count(*) AS rows FROM (SELECT CASE WHEN id IS NULL OR id = '' THEN 'id' WHEN text IS NULL OR regexp_replace(text, '{_WS}+', '', 'g') = '' THEN 'text' WHEN metadata IS NULL THEN 'metadata' END AS problem FROM chunks) WHERE problem IS NOT NULL GROUP BY problem
+UNION ALL SELECT 'duplicate', sum(n) FROM (SELECT id, count(*) AS n FROM chunks WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1) HAVING sum(n) > 0""")
+def chunk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return artifacts.chunk_violations(_read(spark, sf_dir, "chunks"))
+
+
+# ---- embedding and index
+
+
+@query("""SELECT vec_id, CASE WHEN vector IS NULL THEN 'null' WHEN len(vector) <> 64 THEN 'dimension' WHEN len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 'non-finite' WHEN len(list_filter(vector, lambda x: x <> 0)) = 0 THEN 'zero' ELSE 'ok' END AS state FROM points""")
+def vector_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "points").select("vec_id", F.coalesce(ex.vector_problem(F.col("vector"), 64), F.lit("ok")).alias("state"))
+
+
+@query("SELECT doc_id, 'Instruct: Find the page.' || chr(10) || 'Query: ' || text AS prompt FROM documents WHERE text IS NOT NULL")
+def query_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", ex.query_text(F.col("text"), "Find the page.").alias("prompt"))
+
+
+@query("""SELECT DISTINCT id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS point_id
+FROM (SELECT id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('docmill:chunk:' || id)) AS h FROM chunks)""")
+def point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "chunks").select("id", point_id(F.col("id")).alias("point_id")).distinct()
+
+
+@query("SELECT DISTINCT id FROM chunks WHERE id IS NOT NULL AND id NOT IN (SELECT chunk_id FROM points WHERE chunk_id IS NOT NULL)")
+def resume_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _read(spark, sf_dir, "points").filter("chunk_id IS NOT NULL").select(point_id(F.col("chunk_id")).alias("point_id"))
+    return vindex.missing_chunks(points, _read(spark, sf_dir, "chunks").filter("id IS NOT NULL").select("id").distinct()).select("id")
+
+
+@query("""SELECT id FROM (SELECT id, text, body, row_number() OVER (PARTITION BY id ORDER BY ingested_at) AS n FROM chunks) WHERE n = 1 AND length(text) % 2 = 0""")
+def payload_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = _read(spark, sf_dir, "chunks").dropDuplicates(["id"]).select("id", "text", "body", "metadata")
+    stored = chunks.withColumn("body", F.when(F.length("text") % 2 == 0, F.concat("body", F.lit("!"))).otherwise(F.col("body")))
+    points = stored.select(point_id(F.col("id")).alias("point_id"), F.struct("id", "text", "body", "metadata").alias("payload"))
+    return vindex.payload_mismatches(points, chunks).select("id")
+
+
+@query("SELECT indexed, expected, indexed = expected AS complete FROM (SELECT count(DISTINCT chunk_id) AS indexed FROM points), (SELECT count(DISTINCT id) AS expected FROM chunks)")
+def complete_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    indexed = _read(spark, sf_dir, "points").agg(F.countDistinct("chunk_id").alias("n")).select(F.lit("indexed").alias("side"), "n")
+    expected = _read(spark, sf_dir, "chunks").agg(F.countDistinct("id").alias("n")).select(F.lit("expected").alias("side"), "n")
+    both = indexed.unionByName(expected).agg(F.max(F.when(F.col("side") == "indexed", F.col("n"))).alias("indexed"), F.max(F.when(F.col("side") == "expected", F.col("n"))).alias("expected"))
+    return both.select("indexed", "expected", (F.col("indexed") == F.col("expected")).alias("complete"))
+
+
+# ---- retrieval
+
+
+@query("""SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings ORDER BY vec_id LIMIT 1)), 6) AS score FROM embeddings ORDER BY round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings ORDER BY vec_id LIMIT 1)), 9) DESC, vec_id LIMIT 5""")
+def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    asked = table.orderBy("vec_id").first()
+    return retrieval.cosine_top_k(table, asked.vector, 5, "vec_id", 9).select("vec_id", F.round("score", 6).alias("score"))
+
+
+_EMBEDDED = "(SELECT q.vec_id AS query_id, p.vec_id AS id, p.label AS label, q.label AS query_label, round(list_cosine_similarity(q.embedding::DOUBLE[], p.embedding::DOUBLE[]), 9) AS s FROM embeddings q JOIN embeddings p ON p.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)"
+
+
+@query(f"SELECT query_id, id, round(s, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM {_EMBEDDED} QUALIFY rank <= 10")
+def batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = retrieval.batch_top_k(table, table.filter("query_id % 50 = 0"), 10, 64, "query_id")
+    return found.select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+@query("""SELECT id, coalesce(l.section_id, '') AS section_id, l.url AS url, l.page AS page FROM (SELECT id, unnest(CASE WHEN len(metadata.locations) > 0 THEN list_transform(metadata.locations, lambda x: struct_pack(section_id := x.section_id, url := x.url, page := x.page)) ELSE [struct_pack(section_id := NULL::VARCHAR, url := metadata.url, page := metadata.page)] END) AS l FROM chunks)""")
+def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = _read(spark, sf_dir, "chunks").select("id", F.explode(ex.citations(F.col("metadata"))).alias("l"))
+    return each.select("id", F.coalesce("l.section_id", F.lit("")).alias("section_id"), F.col("l.url").alias("url"), F.col("l.page").alias("page"))
+
+
+@query(f"""WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM {_EMBEDDED}), totals AS (SELECT query_id, count(*) FILTER (WHERE label = query_label) AS total FROM ranked GROUP BY query_id)
+SELECT r.query_id, round(count(*) FILTER (WHERE rank <= 10 AND label = query_label) / least(any_value(total), 10), 6) AS recall, round(coalesce(1 / min(rank) FILTER (WHERE rank <= 10 AND label = query_label), 0), 6) AS reciprocal_rank
+FROM ranked r JOIN totals t USING (query_id) WHERE total > 0 GROUP BY r.query_id""")
+def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extension: rows of the same label are relevant."""
+    table = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "label")
+    ranked = retrieval.batch_top_k(table, table.filter("query_id % 50 = 0"), 10, 64, "query_id")
+    labels = table.select(F.col("query_id").alias("id"), "label")
+    asked = table.filter("query_id % 50 = 0").select("query_id", "label")
+    relevant = asked.join(labels, "label").filter("query_id <> id").select("query_id", "id")
+    return retrieval.recall_at_k(ranked, relevant, 10).select("query_id", F.round("recall", 6).alias("recall"), F.round("reciprocal_rank", 6).alias("reciprocal_rank"))
+
+
+_QUESTION = "Which option rebuilds the preconditioner of the linear solver?"
+
+
+def _search(chunks: DataFrame, k: int) -> DataFrame:
+    """Chunks to vectors to the nearest chunks with citations."""
+    provider = embedding.HashingEmbedding(256)
+    points = embedding.embed_table(chunks.select(point_id(F.col("id")).alias("point_id"), "text", F.struct("id", "text", "body", "metadata").alias("payload")), provider)
+    found = retrieval.cited(retrieval.cosine_top_k(points, provider.embed_query(_QUESTION), k, digits=9))
+    return found.select(F.round("score", 6).alias("score"), F.col("chunk.id").alias("chunk_id"), F.col("chunk.text").alias("text"), F.array_join(F.transform("citations", lambda c: F.coalesce(c["url"], F.lit(""))), "|").alias("citations"))
+
+
+@query()
+def retrieve_cited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(chunking.chunk_structured(_read(spark, sf_dir, "parsed"), strict=False), 5)
+
+
+@query()
+def strategy_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _read(spark, sf_dir, "parsed")
+    structured = _search(chunking.chunk_structured(parsed, strict=False), 5).withColumn("strategy", F.lit("structured"))
+    # A piece of white space alone is no valid record of a collection.
+    recursive = _search(chunking.chunk_recursive(parsed).filter(~ex.is_blank(F.col("text"))), 5).withColumn("strategy", F.lit("recursive"))
+    return structured.unionByName(recursive)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

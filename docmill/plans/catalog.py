@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.functions import expressions as ex
 from docmill.functions.identity import content_hash, point_id
 from docmill.operators import artifacts, chunking, embedding, retrieval, sections, vindex
+from docmill.plans.prefix import running_sum
 from docmill.sources import crawl, scan
 from docmill.sources.config import Source
 
@@ -180,12 +181,18 @@ def heading_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "parsed").filter("metadata.headings IS NOT NULL").select("id", F.array_join(heads, "|").alias("headings"))
 
 
+def _numbered(parsed: DataFrame, *columns) -> DataFrame:  # noqa: ANN002
+    """Sections once per id with their number ``n`` (from 1) in the document."""
+    position = F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint")
+    flat = parsed.dropDuplicates(["id"]).select("id", "source", "doc", position.alias("position"), F.lit(1).alias("one"), *columns)
+    return running_sum(flat.withColumn("bucket", F.floor(F.col("position") / 1000)), ["source", "doc"], "bucket", [F.col("position"), F.col("id")], "one", "n")
+
+
 @query(rf"""SELECT id, source || '/' || doc || '@' || substr(coalesce(metadata.document_sha256, ''), 1, 16) || '#' || coalesce(metadata.anchor, 'key') || ':' || (row_number() OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - 1) AS rebuilt FROM {_ONCE}""")
 def section_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = _read(spark, sf_dir, "parsed").dropDuplicates(["id"])
-    number = Window.partitionBy("source", "doc").orderBy(F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint"))
+    flat = _numbered(_read(spark, sf_dir, "parsed"), F.col("metadata"))
     m = F.col("metadata")
-    rebuilt = F.concat("source", F.lit("/"), "doc", F.lit("@"), F.substring(F.coalesce(m["document_sha256"], F.lit("")), 1, 16), F.lit("#"), F.coalesce(m["anchor"], F.lit("key")), F.lit(":"), F.row_number().over(number) - 1)
+    rebuilt = F.concat("source", F.lit("/"), "doc", F.lit("@"), F.substring(F.coalesce(m["document_sha256"], F.lit("")), 1, 16), F.lit("#"), F.coalesce(m["anchor"], F.lit("key")), F.lit(":"), F.col("n") - 1)
     return flat.select("id", rebuilt.alias("rebuilt"))
 
 
@@ -245,8 +252,10 @@ def chunk_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH pairs AS (SELECT id, metadata.headings AS a, lag(metadata.headings) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) AS b FROM {_ONCE})
 SELECT id, array_to_string(a[1:coalesce(list_position(list_transform(range(1, least(len(a), len(b)) + 1), lambda k: a[k] IS DISTINCT FROM b[k]), true) - 1, least(len(a), len(b)))], '|') AS prefix FROM pairs WHERE a IS NOT NULL AND b IS NOT NULL""")
 def common_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("source", "doc").orderBy(F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint"))
-    pairs = _read(spark, sf_dir, "parsed").dropDuplicates(["id"]).select("id", F.col("metadata.headings").alias("a"), F.lag("metadata.headings").over(order).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
+    rows = _numbered(_read(spark, sf_dir, "parsed"), F.col("metadata.headings").alias("a"))
+    # The section before, by its number: a join spreads where a window over a document would not.
+    before = rows.select("source", "doc", (F.col("n") + 1).alias("n"), F.col("a").alias("b"))
+    pairs = rows.join(before, ["source", "doc", "n"]).filter("a IS NOT NULL AND b IS NOT NULL")
     return pairs.select("id", F.array_join(ex.common_prefix(F.array("a", "b")), "|").alias("prefix"))
 
 

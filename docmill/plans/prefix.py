@@ -37,3 +37,23 @@ def _all(conditions: list[Column]) -> Column:
     for condition in conditions[1:]:
         result = result & condition
     return result
+
+
+def running_last(df: DataFrame, keys: list[str], bucket: str, order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """For each of ``values`` the last non-null one up to and including the row, in the order (``bucket``, ``order``).
+
+    In two levels like :func:`running_sum`: the last value per bucket, carried
+    over buckets in a window of one row each, and a window within each bucket.
+    The order within a bucket must be total.
+    """
+    rows = df.withColumns({f"__v_{name}": value for name, value in values.items()})
+    position = F.struct(*order)
+    found = {name: F.max_by(F.when(F.col(f"__v_{name}").isNotNull(), F.struct(F.col(f"__v_{name}").alias("v"))), F.when(F.col(f"__v_{name}").isNotNull(), position)) for name in values}
+    per_bucket = rows.groupBy(*keys, bucket).agg(*(column.alias(f"__l_{name}") for name, column in found.items()))
+    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(*keys, bucket, *(F.last(f"__l_{name}", ignorenulls=True).over(before)["v"].alias(f"__b_{name}") for name in values))
+    within = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns({f"__w_{name}": F.last(f"__v_{name}", ignorenulls=True).over(within) for name in values})
+    same = [local[k].eqNullSafe(carried[k]) for k in [*keys, bucket]]
+    joined = local.join(carried, _all(same), "inner")
+    return joined.select(*[local[c] for c in df.columns], *(F.coalesce(local[f"__w_{name}"], carried[f"__b_{name}"]).alias(name) for name in values))

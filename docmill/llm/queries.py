@@ -120,6 +120,34 @@ SELECT DISTINCT 'section' AS kind, id FROM parsed WHERE length(text) > 2400
 """
 
 
+P4_FOUND_SQL = r"""
+WITH w AS (SELECT DISTINCT id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM parsed),
+s AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS shingle FROM w WHERE len(w) >= 30),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.id < b.id GROUP BY ALL)
+SELECT id_a, id_b FROM c JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE c / (x.n + y.n - c) >= 0.6
+"""
+
+P5_FOUND_SQL = r"""
+WITH RECURSIVE lines AS (SELECT id, source, doc, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM (SELECT DISTINCT id, source, doc, string_split(text, chr(10)) AS l FROM parsed)),
+tidy AS (SELECT id, source, doc, line_no, trim(regexp_replace(line, '[\s\x{1c}-\x{1f}\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS line FROM lines),
+marks AS (SELECT id, line_no, row_number() OVER (PARTITION BY id ORDER BY line_no) AS k, substr(line, 1, 3) AS mark FROM tidy WHERE substr(line, 1, 3) IN ('```', '~~~')),
+scan AS (SELECT id, 0::BIGINT AS k, 0::BIGINT AS line_no, '' AS run FROM (SELECT DISTINCT id FROM tidy)
+UNION ALL SELECT s.id, m.k, m.line_no, CASE WHEN s.run = '' THEN m.mark WHEN s.run = m.mark THEN '' ELSE s.run END FROM scan s JOIN marks m ON m.id = s.id AND m.k = s.k + 1),
+open AS (SELECT t.*, s.run FROM tidy t ASOF JOIN scan s ON s.id = t.id AND s.line_no <= t.line_no WHERE substr(t.line, 1, 3) NOT IN ('```', '~~~')),
+counted AS (SELECT id, source, doc, line_no, lower(regexp_replace(line, '\p{Nd}+', '0', 'g')) AS line FROM open WHERE run = ''),
+kept AS (SELECT * FROM counted WHERE length(line) >= 20 AND regexp_matches(line, '\p{L}')),
+frequent AS (SELECT source, line FROM kept GROUP BY source, line HAVING count(DISTINCT doc) >= 8)
+SELECT DISTINCT k.id, k.line_no FROM kept k JOIN frequent f ON k.source = f.source AND k.line = f.line
+"""
+
+P6_FOUND_SQL = """
+WITH good AS (SELECT vec_id, vector::DOUBLE[] AS v FROM points WHERE len(vector) = 64 AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vector, lambda x: x <> 0)) > 0),
+ranked AS (SELECT a.vec_id AS a, b.vec_id AS b, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.v, b.v), 9) DESC, b.vec_id) AS n FROM good a JOIN good b ON a.vec_id <> b.vec_id)
+SELECT DISTINCT least(a, b) AS vec_a, greatest(a, b) AS vec_b FROM ranked WHERE n <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = """
         p1_token_budget p2_found p2_clean_text p3_found p3_pieces p4_found p4_groups
@@ -130,4 +158,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_FOUND_SQL}
+    return {"p3_found": P3_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p6_found": P6_FOUND_SQL}

@@ -18,9 +18,13 @@ from html.entities import html5
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FAMILIES = ("html", "markdown", "wiki", "latex")
-CLEAN_FIELDS = "families array<string>, clean_text string, n_chars int, n_clean_chars int, n_headings int, n_items int, n_code int, n_rows int, n_formulas int, n_dropped_lines int"
+CLEAN_FIELDS = T.StructType(
+    [T.StructField("families", T.ArrayType(T.StringType())), T.StructField("clean_text", T.StringType())]
+    + [T.StructField(n, T.IntegerType()) for n in ("n_chars", "n_clean_chars", "n_headings", "n_items", "n_code", "n_rows", "n_formulas", "n_dropped_lines")]
+)
 
 # Element names of HTML that are taken for tags.
 _ELEMENTS = (
@@ -341,10 +345,10 @@ def clean_documents(df: DataFrame, text: str = "text") -> DataFrame:
     no families; empty text gives empty text. Columns of ``df`` with the same
     names as the new ones are replaced.
     """
-    made = [f.split()[0] for f in CLEAN_FIELDS.split(", ")]
+    made = CLEAN_FIELDS.names
     kept = [c for c in df.columns if c not in {text, *made}]
     source = df.select(*kept, F.col(text).alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("__text").schema), CLEAN_FIELDS])
+    schema = T.StructType([*source.schema.fields[:-1], *CLEAN_FIELDS.fields])
     types = [pa.list_(pa.string()), pa.string(), *[pa.int32()] * 8]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -117,8 +117,9 @@ def sized_documents(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY)
 def pack_documents(documents: DataFrame, capacities: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """``(capacity_name, container_id, doc_id, part, start_token, end_token, n_tokens)``.
 
-    Every document (unique ``doc_id``; rows without one are left out) is packed
-    once per capacity. One that is larger than the capacity is cut at token
+    Every document (``doc_id`` is taken to be unique, a repeated row is packed
+    as often as it comes; rows without an id are left out) is packed once per
+    capacity. One that is larger than the capacity is cut at token
     boundaries into full containers and a rest, which is packed like any other
     document. Null and empty texts have no tokens: they come out with a null
     container. Capacities with a null name or less than one token are ignored,

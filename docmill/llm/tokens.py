@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docmill.functions.text import primary_language, url_host
 
@@ -249,7 +250,7 @@ def with_token_counts(df: DataFrame, text: str = "text", vocabulary: str = DEFAU
     made = ["n_chars", "n_tokens", "n_longest_match"]
     kept = [c for c in df.columns if c not in {text, *made}]
     source = df.select(*kept, F.col(text).alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("__text").schema), *(f"{m} bigint" for m in made)])
+    schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(m, T.LongType()) for m in made)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = worker_measure(shared.value)

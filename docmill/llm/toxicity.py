@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CATEGORIES = ("abuse", "hate", "sexual")
 #: Labelled documents that are fitted on at most, those with the smallest hash of their id.
@@ -282,7 +283,7 @@ def score_documents(documents: DataFrame, labels: DataFrame, terms: DataFrame, m
     made = [f"score_{c}" for c in CATEGORIES]
     kept = [c for c in documents.columns if c != "text" and c not in made]
     source = documents.select(*kept, "text")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("text").schema), *(f"{m} double" for m in made)])
+    schema = T.StructType([*source.schema.fields[:-1], *(T.StructField(m, T.DoubleType()) for m in made)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hints, index, weights, bias = shared.value

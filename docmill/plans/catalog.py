@@ -215,9 +215,48 @@ def audit_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.filter(((F.col("status") == "parsed") & F.col("n").isNull()) | (F.col("sections") != F.col("n"))).select("source", "doc")
 
 
+_LINE_ENDS = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+_UNDER = r"^ {0,3}(=+|-+)\s*$"
+# One row per line of each text (line ends made equal), with what the scanners ask of it.
+_LINES = rf"""texts AS (SELECT DISTINCT id, regexp_replace(text, '{_LINE_ENDS}', chr(10), 'g') AS text FROM parsed),
+raw AS (SELECT id, generate_subscripts(l, 1) AS k, unnest(l) AS line FROM (SELECT id, string_split(text, chr(10)) AS l FROM texts)),
+lines AS (SELECT id, k, line, regexp_extract(line, '^ {{0,3}}(`{{3,}}|~{{3,}})', 1) AS mark, regexp_matches(line, '^ {{0,3}}(`{{3,}}|~{{3,}})\s*$') AS bare, regexp_replace(line, '{_WS}+', '', 'g') = '' AS blank,
+regexp_extract(line, '^ {{0,3}}(#{{1,6}})[ \t]+(.+?)\s*#*\s*$', 1) AS atx, lead(line) OVER (PARTITION BY id ORDER BY k) AS following FROM raw)"""
+
+
+def _same_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.regexp_replace("text", ex.LINE_SEPARATORS, "\n")
+    return _read(spark, sf_dir, "parsed").select("id", text.alias("text")).distinct()
+
+
 # ---- structure and chunks
 
 
+@query(rf"""WITH RECURSIVE {_LINES},
+scan AS (SELECT id, 0::BIGINT AS k, 1::BIGINT AS next, '' AS run, 0 AS level FROM texts
+UNION ALL SELECT s.id, l.k, l.k + CASE WHEN s.run = '' AND under THEN 2 ELSE 1 END, CASE WHEN s.run = '' AND under THEN '' WHEN s.run = '' THEN l.mark WHEN starts_with(l.mark, s.run) AND l.mark <> '' AND l.bare THEN '' ELSE s.run END,
+CASE WHEN s.run <> '' THEN 0 WHEN l.atx <> '' THEN length(l.atx) WHEN under THEN CASE WHEN ltrim(l.following) LIKE '=%' THEN 1 ELSE 2 END ELSE 0 END
+FROM scan s JOIN (SELECT *, coalesce(NOT blank AND regexp_matches(following, '{_UNDER}') AND NOT starts_with(line, '    ') AND NOT starts_with(line, chr(9)), false) AS under FROM lines) l ON l.id = s.id AND l.k = s.next),
+parts AS (SELECT r.id, r.k, r.line, sum(CASE WHEN s.level > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY r.id ORDER BY r.k) AS part, max(CASE WHEN s.level > 0 THEN r.k END) OVER (PARTITION BY r.id ORDER BY r.k) AS head, sum(length(r.line) + 1) OVER (PARTITION BY r.id ORDER BY r.k) - length(r.line) - 1 AS pos
+FROM raw r LEFT JOIN scan s ON s.id = r.id AND s.k = r.k),
+sections AS (SELECT id, part, min(pos) AS start, trim(string_agg(line, chr(10) ORDER BY k), chr(10)) AS text FROM parts GROUP BY id, part)
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY part) - 1 AS section_no, start, text FROM sections WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''""")
+def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.split_texts(_same_line_ends(spark, sf_dir)).select("id", "section_no", "start", "text")
+
+
+@query(rf"""WITH RECURSIVE {_LINES},
+scan AS (SELECT id, 0::BIGINT AS k, '' AS before, '' AS run FROM texts
+UNION ALL SELECT s.id, l.k, s.run, CASE WHEN s.run = '' THEN l.mark WHEN starts_with(l.mark, s.run) AND l.mark <> '' AND l.bare THEN '' ELSE s.run END FROM scan s JOIN lines l ON l.id = s.id AND l.k = s.k + 1),
+state AS (SELECT l.id, l.k, l.line, s.before, s.run, s.before = '' AND s.run = '' AND l.blank AS gap, CASE WHEN s.before <> '' OR s.run <> '' THEN 2 WHEN contains(l.line, '|') THEN 1 ELSE 0 END AS kind FROM lines l JOIN scan s ON s.id = l.id AND s.k = l.k),
+numbered AS (SELECT *, sum(gap::INT + (before = '' AND run <> '')::INT) OVER w + coalesce(sum((before <> '' AND run = '')::INT) OVER (PARTITION BY id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS number FROM state WINDOW w AS (PARTITION BY id ORDER BY k)),
+kept AS (SELECT *, coalesce(lag(number) OVER w <> number OR lag(kind) OVER w <> kind, true) AS fresh FROM numbered WHERE NOT gap WINDOW w AS (PARTITION BY id ORDER BY k)),
+islands AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY id ORDER BY k) AS island FROM kept)
+SELECT id, island - 1 AS block_no, string_agg(line, chr(10) ORDER BY k) || CASE WHEN max_by(run, k) <> '' THEN chr(10) || max_by(run, k) ELSE '' END AS text FROM islands GROUP BY id, island""")
+def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.block_table(_same_line_ends(spark, sf_dir))
+
+
 @query(r"""WITH RECURSIVE lines AS (SELECT id, generate_subscripts(l, 1) AS k, unnest(l) AS line FROM (SELECT id, string_split_regex(text, '\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]') AS l FROM (SELECT DISTINCT id, text FROM parsed))),
 marks AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY k) AS k, regexp_extract(line, '^ {0,3}(`{3,}|~{3,})', 1) AS mark, regexp_matches(line, '^ {0,3}(`{3,}|~{3,})\s*$') AS bare FROM lines WHERE regexp_matches(line, '^ {0,3}(`{3,}|~{3,})')),
 scan AS (SELECT id, 0::BIGINT AS k, '' AS run FROM (SELECT DISTINCT id FROM parsed) UNION ALL

@@ -19,7 +19,8 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+    """Whether there is nothing but Unicode white space; stops at the first other character."""
+    return ~text.rlike(f"[^{_SPACE[1:]}")
 
 
 def lines_of(text: Column) -> Column:

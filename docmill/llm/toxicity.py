@@ -30,6 +30,8 @@ HASH_BITS = 20
 EPOCHS = 3
 ROUNDS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.25, 0.5
+#: Examples per update, factor of a sentence's feature values, rate of the bias.
+BATCH, SCALE, BIAS_RATE = 16, 4.0, 0.02
 THRESHOLD = 0.5
 #: Weight of an offending example against a harmless one.
 POSITIVE_WEIGHT = 3.0
@@ -162,27 +164,34 @@ class Ftrl:
         z, n = self.z[index], self.n[index]
         return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
-    def step(self, index: np.ndarray, target: np.ndarray, importance: np.ndarray) -> None:
-        """One update; categories of importance 0 stay as they are. ``index`` is without repeats."""
-        w = self.weights(index)
-        value = 1.0 / np.sqrt(len(index))
-        p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(axis=0) * value * 4 + self.bias, -30, 30)))
-        g = (p - target) * importance * value * 4
-        n = self.n[index]
-        sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / ALPHA
-        self.z[index] += g - sigma * w
-        self.n[index] = n + g * g
-        self.bias -= 0.02 * (p - target) * importance
-
-    def score(self, index: np.ndarray, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
-        return sentence_scores(index, starts, table, self.bias)
+    def step(self, parts: list[np.ndarray], target: np.ndarray, importance: np.ndarray) -> None:
+        """One update on a few examples (features without repeats, targets and importances per category).
+
+        Categories of importance 0 stay as they are.
+        """
+        lengths = np.array([len(part) for part in parts])
+        index, place = np.unique(np.concatenate(parts), return_inverse=True)
+        owner = np.repeat(np.arange(len(parts)), lengths)
+        n, z = self.n[index], self.z[index]
+        w = np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+        value = SCALE / np.sqrt(lengths)[:, None]
+        sums = np.add.reduceat(w[place], np.r_[0, np.cumsum(lengths)[:-1]], axis=0)
+        error = (1.0 / (1.0 + np.exp(-np.clip(sums * value + self.bias, -30, 30))) - target) * importance
+        # Each example's own squares keep the rates those of single updates.
+        each = (error * value)[owner]
+        g = np.stack([np.bincount(place, each[:, c], len(index)) for c in range(each.shape[1])], axis=1)
+        square = np.stack([np.bincount(place, each[:, c] ** 2, len(index)) for c in range(each.shape[1])], axis=1)
+        sigma = (np.sqrt(n + square) - np.sqrt(n)) / ALPHA
+        self.z[index] = z + g - sigma * w
+        self.n[index] = n + square
+        self.bias -= BIAS_RATE * error.sum(axis=0)
 
 
 def sentence_scores(index: np.ndarray, starts: np.ndarray, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Probability per sentence and category."""
     sums = np.add.reduceat(table[index], starts, axis=0)
     sizes = np.diff(np.r_[starts, len(index)])[:, None]
-    return 1.0 / (1.0 + np.exp(-np.clip(sums * 4 / np.sqrt(sizes) + bias, -30, 30)))
+    return 1.0 / (1.0 + np.exp(-np.clip(sums * SCALE / np.sqrt(sizes) + bias, -30, 30)))
 
 
 def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,8 +238,10 @@ def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed:
             importance[unsure] = 0.0
             model = Ftrl()
         for _ in range(EPOCHS):
-            for k in rng.permutation(len(examples)):
-                model.step(examples[k][0], target[k], importance[k])
+            order = rng.permutation(len(examples))
+            for at in range(0, len(order), BATCH):
+                few = order[at : at + BATCH]
+                model.step([examples[k][0] for k in few], target[few], importance[few])
     table = model.weights(slice(None))
     index = np.nonzero(table.any(axis=1))[0]
     return index, table[index].astype(np.float32), model.bias

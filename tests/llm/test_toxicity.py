@@ -18,7 +18,7 @@ def test_ftrl_is_sparse_and_learns():
     for _ in range(600):
         good = rng.random() < 0.5
         index = np.unique(np.r_[rng.integers(10, 4000, 8), 3 if good else 5])
-        model.step(index, np.array([good, 0, 0], float), np.ones(3))
+        model.step([index], np.array([[good, 0, 0]], float), np.ones((1, 3)))
     w = model.weights(np.array([3, 5]))
     assert w[0, 0] > 0.3 and w[1, 0] < 0
     assert (model.weights(slice(None)) != 0).sum() < 4000

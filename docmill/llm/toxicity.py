@@ -260,7 +260,8 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_docs: int = MAX_T
     chosen = votes.withColumn("n", F.row_number().over(order)).filter("n = 1").select("doc_id", "label")
     sample = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     texts = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(sample, "doc_id").dropDuplicates(["doc_id"])
+    # At most max_docs small rows: sent to the texts, so that these are not shuffled.
+    return texts.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
 
 
 def trained_weights(documents: DataFrame, labels: DataFrame, terms: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> tuple[list[tuple[str, str]], np.ndarray, np.ndarray, np.ndarray]:

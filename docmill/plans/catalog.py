@@ -17,7 +17,7 @@ from docmill.functions.identity import content_hash, point_id
 from docmill.operators import artifacts, chunking, embedding, retrieval, sections, vindex
 from docmill.plans.prefix import running_sum
 from docmill.sources import crawl, scan
-from docmill.sources.config import Source
+from docmill.sources.config import MAX_SOURCES, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -149,7 +149,9 @@ def parse_code_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def parse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "parsed").filter("metadata.page IS NOT NULL").dropDuplicates(["id"])
-    names = rows.select("source").distinct().limit(1000).collect()  # the table of sources is fixed
+    names = rows.select("source").distinct().limit(MAX_SOURCES + 1).collect()
+    if len(names) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
     pages = rows.select("source", "doc", F.coalesce("metadata.document_sha256", F.lit("")).alias("sha256"), F.lit(None).cast("string").alias("title"), "metadata.page", "text")
     return sections.parse_pages(pages, [Source(r.source, "pdf", ".", "https://docs.example/{path}") for r in names])
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docmill.llm import knn, markup, mixing, neardup, packing, sitelines, split, tokens, toxicity
+from docmill.plans.runtime import materialize
 
 
 def p1_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def p5_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = spark.read.parquet(f"{sf_dir}/parsed.parquet")
-    return sitelines.extend_sequences(sitelines.frequent_lines(sitelines.line_table(sections)))
+    return sitelines.extend_sequences(sitelines.frequent_lines(materialize(sitelines.line_table(sections), "lines")))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

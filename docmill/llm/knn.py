@@ -5,8 +5,8 @@ signs) and hashed to the nearest signed axis; a table joins the axes of two
 rotations to one bucket. Every distinct vector is indexed once per table and
 looks into its own bucket and the next likely ones (multiprobe). Candidates are
 ranked by their exact cosine inside the bucket, so the shuffle carries vectors
-to buckets and nothing quadratic leaves a task. Buckets above a size are hashed
-again with further rotations, and what is still above it is compared in blocks.
+to buckets and nothing quadratic leaves a task. Buckets above a size are
+compared whole, in pairs of blocks that are spread over tasks.
 """
 
 from __future__ import annotations
@@ -144,14 +144,19 @@ def _home_slots(vectors: DataFrame, dim: int, tables: int, functions: int) -> Da
     return vectors.select("vector").mapInArrow(emit, "slot bigint, size bigint")
 
 
-def _rank_buckets(entries: DataFrame, keys: list[str], dim: int, k: int, parts: int) -> DataFrame:
-    """``(rep, other, cosine)``: the best ``k`` of each query within each of its buckets."""
+def _rank_buckets(entries: DataFrame, keys: list[str], dim: int, k: int, parts: int, apart: bool = False) -> DataFrame:
+    """``(rep, other, cosine)``: the best ``k`` of each query within each of its buckets.
+
+    Indexed rows (``home``) are queries too, unless those come ``apart``.
+    """
 
     def one(home: np.ndarray, ids: np.ndarray, x: np.ndarray) -> list[tuple[np.ndarray, ...]]:
         data, data_ids = x[home], ids[home]
         out = []
         if not len(data):
             return out
+        if apart:
+            x, ids = x[~home], ids[~home]
         for start in range(0, len(x), 512):
             q, q_ids = x[start : start + 512], ids[start : start + 512]
             held: list[tuple[np.ndarray, ...]] = []
@@ -229,7 +234,7 @@ def nearest_vectors(
     )
     count = classes.count()
     parts = tasks_for(count * tables * probes, 60_000, least=12)
-    functions = 2 * tables + 2
+    functions = 2 * tables
     entries = _entries(classes, dim, tables, probes, functions, 0)
     sizes = _home_slots(classes, dim, tables, functions).groupBy("slot").agg(F.sum("size").alias("size")).filter(F.col("size") > bucket_rows)
     hot = materialize(sizes, "large-buckets")
@@ -237,7 +242,7 @@ def nearest_vectors(
         ranked = _rank_buckets(entries, ["slot"], dim, k, parts)
     else:
         ranked = _rank_buckets(entries.join(hot, "slot", "left_anti"), ["slot"], dim, k, parts).unionByName(
-            _rank_large(entries.join(hot.select("slot"), "slot", "left_semi"), dim, k, parts, functions, probes, bucket_rows)
+            _rank_large(entries.join(hot.select("slot"), "slot", "left_semi"), dim, k, parts, bucket_rows)
         )
     best = Window.partitionBy("rep").orderBy(F.desc("cosine"), "other")
     # A pair found in several tables is equal rows, which share a dense rank; so each task can
@@ -255,34 +260,17 @@ def nearest_vectors(
     return rows.select("vec_id", F.col("near.id").alias("neighbour"), (-F.col("near.less")).alias("cosine"), (F.col("rank") + 1).alias("rank"))
 
 
-def _rank_large(entries: DataFrame, dim: int, k: int, parts: int, functions: int, probes: int, bucket_rows: int) -> DataFrame:
-    """Buckets above ``bucket_rows``: hashed by two further rotations, then, where still too large, compared block by block."""
-    hashes = CrossPolytope(dim, functions)
-
-    def deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column("vector"), dim)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            keys = hashes.pair_keys(x, functions - 2, probes)
-            row = pa.array(np.repeat(np.arange(len(x)), probes))
-            first = np.zeros(keys.shape, bool)
-            first[:, 0] = True
-            home = first & batch.column("home").to_numpy(zero_copy_only=False)[:, None]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("slot").take(row), pa.array(keys.ravel()), pa.array(home.ravel()), batch.column("rep").take(row), batch.column("vector").take(row)],
-                names=["slot", "part", "home", "rep", "vector"],
-            )
-
-    split = entries.select("slot", "home", "rep", "vector").mapInArrow(deeper, "slot bigint, part bigint, home boolean, rep bigint, vector array<float>")
-    blocks = split.groupBy("slot", "part").agg(F.ceil(F.count(F.when(F.col("home"), 1)) / bucket_rows).alias("blocks"))
-    sized = split.join(blocks, ["slot", "part"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.greatest("blocks", F.lit(1))))
-    whole = F.sequence(F.lit(0).cast("bigint"), F.greatest("blocks", F.lit(1)) - 1)
+def _rank_large(entries: DataFrame, dim: int, k: int, parts: int, bucket_rows: int) -> DataFrame:
+    """Buckets above ``bucket_rows``: every query is compared with every indexed row, block by block."""
+    entries = entries.select("slot", "home", "rep", "vector")
+    blocks = entries.groupBy("slot").agg(F.ceil(F.count(F.lit(1)) / bucket_rows).alias("asking"), F.ceil(F.count(F.when(F.col("home"), 1)) / bucket_rows).alias("indexed"))
+    sized = entries.join(blocks, "slot")
     # Block pairs (query block, data block): a row goes along its line of queries, an indexed row along its column of data.
-    queries = sized.select("slot", "part", F.col("own").alias("q"), F.explode(whole).alias("d"), F.lit(False).alias("home"), "rep", "vector")
-    data = sized.filter("home").select("slot", "part", F.explode(whole).alias("q"), F.col("own").alias("d"), F.lit(True).alias("home"), "rep", "vector")
-    return _rank_buckets(queries.unionByName(data), ["slot", "part", "q", "d"], dim, k, parts)
+    own = lambda count: F.pmod(F.xxhash64("rep"), count)
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+    queries = sized.select("slot", own("asking").alias("q"), every("indexed").alias("d"), F.lit(False).alias("home"), "rep", "vector")
+    data = sized.filter("home").select("slot", every("asking").alias("q"), own("indexed").alias("d"), F.lit(True).alias("home"), "rep", "vector")
+    return _rank_buckets(queries.unionByName(data), ["slot", "q", "d"], dim, k, parts, apart=True)
 
 
 def found_pairs(points: DataFrame, k: int = 5, dim: int = 64) -> DataFrame:

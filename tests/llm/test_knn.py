@@ -70,3 +70,11 @@ def test_large_buckets_are_split(spark):
     got = found(df, bucket_rows=20)
     hits = sum(len(set(got.get(i, [])) & set(near)) for i, near in expected.items())
     assert hits / sum(map(len, expected.values())) >= 0.9
+
+
+def test_large_buckets_lose_no_neighbour(spark):
+    rng = np.random.default_rng(6)
+    center = rng.normal(size=64)
+    rows = [(n, [float(x) for x in center + rng.normal(size=64) * (0.3 if n % 3 else 2.0)]) for n in range(400)]
+    df = spark.createDataFrame([(i, v, None) for i, v in rows], SCHEMA)
+    assert found(df, bucket_rows=8) == found(df)

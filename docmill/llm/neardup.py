@@ -32,8 +32,10 @@ ROWS = 5
 BITS = 2
 #: Standard errors of the estimate that a candidate may lie under the threshold.
 MARGIN = 4.0
-#: Members of a band bucket above which it is refined by a second band.
+#: Members of a band bucket above which its pairs are estimated before they are output.
 HOT_BUCKET = 100
+#: Members of such a bucket that are compared with as many others in one piece.
+HOT_BLOCK = 2048
 _BITS_PER_LONG = 64 // BITS
 _MEMO_WORDS = 300_000
 
@@ -166,11 +168,11 @@ def _bucket_blobs(keyed: DataFrame, parts: int) -> DataFrame:
     return keyed.select("keys", "k1").mapInArrow(pack, "part int, blob binary")
 
 
-def _bucket_pairs(blobs: DataFrame, parts: int, hot: int | None) -> DataFrame:
+def _bucket_pairs(blobs: DataFrame, parts: int, hot: int) -> DataFrame:
     """``(a, b, hot_key)``: pairs of classes that share a key (``a < b``).
 
     Buckets of more than ``hot`` members give, instead of pairs, one row
-    ``(member, null, key)`` each, to be refined by the caller.
+    ``(member, null, key)`` each, to be compared by the caller.
     """
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +188,7 @@ def _bucket_pairs(blobs: DataFrame, parts: int, hot: int | None) -> DataFrame:
             sizes = np.diff(np.r_[starts, len(pairs)])
             for size in np.unique(sizes[sizes > 1]):
                 at = starts[sizes == size]
-                if hot is not None and size > hot:
+                if size > hot:
                     for start in at:
                         rows = pairs[start : start + size]
                         yield pa.RecordBatch.from_arrays([pa.array(rows[:, 1]), pa.nulls(size, pa.int64()), pa.array(rows[:, 0])], names=["a", "b", "hot_key"])
@@ -200,23 +202,59 @@ def _bucket_pairs(blobs: DataFrame, parts: int, hot: int | None) -> DataFrame:
     return blobs.repartitionById(parts, "part").mapInArrow(match, "a bigint, b bigint, hot_key bigint")
 
 
-def candidate_pairs(classes: DataFrame, hot_bucket: int = HOT_BUCKET, bands: int = BANDS) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of classes (``k1``) that share a band.
+def _hot_pairs(hot: DataFrame, bits: DataFrame, size: int, least: float, block: int = HOT_BLOCK) -> DataFrame:
+    """``(a, b)``: pairs of members ``(k1, hot_key)`` of one bucket whose estimated similarity is at least ``least``.
 
-    A bucket above ``hot_bucket`` members is refined: its members must share a
-    second band as well. Similar texts share several bands, so this drops
-    chance company and keeps true pairs; those are then output in full.
+    A bucket is compared whole, in pairs of blocks that are spread over tasks.
+    """
+    blocks = hot.groupBy("hot_key").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    sized = hot.join(bits, "k1").join(blocks, "hot_key").withColumn("own", F.pmod(F.xxhash64("k1"), "blocks"))
+    # A member meets its own block and every other: once as the lower and once as the higher of the two.
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    sent = sized.select("hot_key", "own", "k1", "bits", other).select("hot_key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "k1", "bits")
+    chance = 1.0 / (1 << BITS)
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        k1, own = table["k1"].to_numpy(), table["own"].to_numpy()
+        packed = table["bits"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(k1), -1).view(np.uint64)
+        low, high = key[1].as_py(), key[2].as_py()
+        left, right = np.nonzero(own == low)[0], np.nonzero(own == high)[0]
+        found = []
+        for start in range(0, len(left), 256):
+            rows = left[start : start + 256]
+            unequal = np.zeros((len(rows), len(right)), np.int32)
+            for word in packed.T:
+                x = word[rows, None] ^ word[None, right]
+                unequal += np.bitwise_count((x | x >> _ONE) & np.uint64(0x5555555555555555))
+            near = (1.0 - unequal / float(size) - chance) / (1 - chance) >= least
+            if low == high:
+                near &= k1[rows, None] < k1[None, right]
+            i, j = np.nonzero(near)
+            found.append(np.stack([k1[rows[i]], k1[right[j]]]))
+        pairs = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+
+    return sent.groupBy("hot_key", "low", "high").applyInArrow(compare, "a bigint, b bigint")
+
+
+def near_pairs(classes: DataFrame, size: int, least: float, hot_bucket: int = HOT_BUCKET, bands: int = BANDS) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of classes ``(k1, bands, bits)`` that share a band and are similar by the estimate.
+
+    The estimate is made on the joined pairs, or, in a bucket above
+    ``hot_bucket`` members, before pairs are output; both give the same.
     """
     parts = tasks_for(classes.count() * bands, 1_500_000, least=12)
     blobs = _bucket_blobs(classes.select(F.col("bands").alias("keys"), "k1"), parts)
     found = materialize(_bucket_pairs(blobs, parts, hot_bucket), "band-pairs")
-    pairs = found.filter("b IS NOT NULL").select("a", "b")
+    bits = classes.groupBy("k1").agg(F.any_value("bits").alias("bits"))
+    one = bits.select(F.col("k1").alias("a"), F.col("bits").alias("bits_a"))
+    two = bits.select(F.col("k1").alias("b"), F.col("bits").alias("bits_b"))
+    joined = found.filter("b IS NOT NULL").select("a", "b").distinct().join(one, "a").join(two, "b")
+    pairs = joined.filter(estimated_similarity(F.col("bits_a"), F.col("bits_b"), size) >= least).select("a", "b")
     hot = found.filter("hot_key IS NOT NULL").select(F.col("a").alias("k1"), "hot_key")
     if not hot.isEmpty():
-        both = hot.join(classes.select("k1", "bands"), "k1").select(F.transform(F.filter("bands", lambda x: x != F.col("hot_key")), lambda x: F.xxhash64("hot_key", x)).alias("keys"), "k1")
-        refined = _bucket_pairs(_bucket_blobs(both, parts), parts, None).select("a", "b")
-        pairs = pairs.unionByName(refined)
-    return pairs.distinct()
+        pairs = pairs.unionByName(_hot_pairs(hot, bits, size, least)).distinct()
+    return pairs
 
 
 class NearDuplicates:
@@ -241,12 +279,7 @@ class NearDuplicates:
         chance = 1.0 / (1 << BITS)
         agree = self.threshold + (1 - self.threshold) * chance
         least = self.threshold - MARGIN * (agree * (1 - agree) / size) ** 0.5 / (1 - chance)
-        bits = self.signed.groupBy("k1").agg(F.any_value("bits").alias("bits"))
-        pairs = candidate_pairs(self.signed.select("k1", "bands"), hot_bucket, self.hasher.bands)
-        one = bits.select(F.col("k1").alias("a"), F.col("bits").alias("bits_a"))
-        two = bits.select(F.col("k1").alias("b"), F.col("bits").alias("bits_b"))
-        joined = pairs.join(one, "a").join(two, "b")
-        return materialize(joined.filter(estimated_similarity(F.col("bits_a"), F.col("bits_b"), size) >= least).select("a", "b"), "near-pairs")
+        return materialize(near_pairs(self.signed.select("k1", "bands", "bits"), size, least, hot_bucket, self.hasher.bands), "near-pairs")
 
     def _verified(self, near: DataFrame) -> DataFrame:
         """``(a, b, similarity)`` of the candidates at or above the threshold, by their shingles."""

@@ -51,6 +51,15 @@ def test_defaults_hot_buckets_and_copies(spark):
     assert NearDuplicates(df.limit(0)).groups().count() == 0
 
 
+def test_hot_buckets_lose_no_pair(spark):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(f"t{c:03d}", " ".join(rng.choice(base) + f"x{c}" if rng.random() < 0.05 else w for w in base)) for c in range(60)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    pairs = [{tuple(r) for r in NearDuplicates(df, 3, 0.6, bands=8, hot_bucket=hot).id_pairs().collect()} for hot in (100, 1)]
+    assert pairs[0] == pairs[1] and pairs[0]
+
+
 def test_estimate_is_near_the_similarity():
     hasher = ShingleHasher(1, 1)
     rng = np.random.default_rng(1)

@@ -24,8 +24,6 @@ from docmill.plans.runtime import materialize, tasks_for
 #: Items packed together in one task.
 SHARD_ITEMS = 20_000
 MAX_CAPACITIES = 1_000
-#: Equally tight containers looked at for one without the item's source.
-SOURCE_LOOKS = 4
 
 
 class OpenBins:
@@ -38,6 +36,7 @@ class OpenBins:
         self.live: Counter = Counter()
         self.head: dict[int, int] = {}
         self.passed: dict[tuple[int, int], int] = {}
+        self.shared: dict[int, dict[int, int]] = {}
         self.sources: list[int] = []
         self.clusters: list[int] = []
 
@@ -54,6 +53,7 @@ class OpenBins:
                 if not self.live[residual]:
                     del self.residuals[k], self.bins[residual], self.live[residual]
                     self.head.pop(residual, None)
+                    self.shared.pop(residual, None)
                     self.passed = {key: v for key, v in self.passed.items() if key[1] != residual} if self.passed else self.passed
                 self._keep(chosen, residual - size, bit, source)
                 return chosen
@@ -82,17 +82,16 @@ class OpenBins:
             self.passed[cluster, residual] = start
         else:
             self.head[residual] = start
-        best, looks = -1, 0
-        for at in range(start, len(row)):
-            if row[at] < 0 or bit & self.clusters[row[at]]:
-                continue
-            if not self.sources[row[at]] & source_bit:
+        # Before ``other`` all containers have moved on or hold this source, for good.
+        shared = self.shared.setdefault(residual, {})
+        other = shared.get(source_bit, 0)
+        while other < len(row) and (row[other] < 0 or self.sources[row[other]] & source_bit):
+            other += 1
+        shared[source_bit] = other
+        for at in range(max(start, other), len(row)):
+            if row[at] >= 0 and not bit & self.clusters[row[at]] and not self.sources[row[at]] & source_bit:
                 return at
-            best = at if best < 0 else best
-            looks += 1
-            if looks >= SOURCE_LOOKS:
-                break
-        return best
+        return start if start < len(row) else -1
 
 
 def pack(sizes: list[int], sources: list[str | None], clusters: list[int], capacity: int) -> list[int]:

@@ -36,6 +36,12 @@ def test_many_copies_stay_apart_and_fast():
     assert [bins.place(4, 0, -1), bins.place(4, 1, -1), bins.place(4, 0, -1)] == [0, 0, 1]
 
 
+def test_another_source_is_found_among_many_equal_containers():
+    bins = OpenBins(10)
+    assert [bins.place(6, source, -1) for source in [0] * 8 + [1]] == list(range(9))
+    assert bins.place(4, 0, -1) == 8 and bins.place(4, 1, -1) == 0
+
+
 def test_table(spark):
     documents = spark.read.parquet(f"{DATA}/documents.parquet")
     capacities = spark.read.parquet(f"{DATA}/capacities.parquet")

@@ -221,10 +221,9 @@ class _Cleaner:
         return self._hold(html.unescape(m[0]))
 
     def _latex(self, text: str) -> str:
-        for _ in range(4):  # arguments may hold commands
+        n = 1
+        while n:  # arguments may hold commands; every round removes some
             text, n = _LATEX.subn(self._command, text)
-            if not n:
-                break
         return _LATEX_ESCAPE.sub(r"\1", text) if "latex" in self.seen else text
 
     def _command(self, m: re.Match) -> str:

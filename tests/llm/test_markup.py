@@ -27,6 +27,10 @@ def test_lookalikes(text):
     assert families == [] and clean == text
 
 
+def test_deeply_nested_commands_are_unwrapped():
+    assert clean_text("a " + "\\textbf{\\emph{" * 5 + "x" + "}}" * 5 + " b")[:2] == (["latex"], "a x b")
+
+
 def test_structure_is_kept():
     raw = "Title\n-----\n\nBody with **bold** and [link](x.html) and $a_{1}^2$ of some length to be text.\n\n* one &amp; two\n* three\n\n<h3 id=q>Sub</h3>\n<table><tr><th>A</th><th>B</th></tr>\n<tr><td>1<td>2</tr></table>\n\n<pre>if (a &lt; b) { x; }</pre>\n"
     families, clean, *counts = clean_text(raw)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 import xxhash
@@ -21,8 +22,7 @@ from docmill.plans.runtime import materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 8
-#: Longest sequence and the gap, in sequence positions, that an extension may skip.
-MAX_LENGTH = 4
+#: How many of the next frequent lines of a text an extension may take; 1 skips none.
 MAX_GAP = 1
 
 _DIGITS = re.compile(r"\d+")
@@ -96,11 +96,11 @@ def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return a.join(b, F.expr("a.h1 = b.h1 AND a.h2 = b.h2 AND a.source <=> b.source"), "left_semi").select("id", "source", "doc", "line_no", "h1", "h2")
 
 
-def extend_sequences(projected: DataFrame, min_docs: int = MIN_DOCS, max_length: int = MAX_LENGTH, max_gap: int = MAX_GAP) -> DataFrame:
+def extend_sequences(projected: DataFrame, min_docs: int = MIN_DOCS, max_length: int | None = None, max_gap: int = MAX_GAP) -> DataFrame:
     """PrefixSpan over the rows of :func:`frequent_lines`: ``source, seq, length, n_docs``.
 
     ``seq`` joins the hashes of its lines. A sequence extends to the next
-    ``max_gap`` frequent lines of a text and has at most ``max_length`` lines;
+    ``max_gap`` frequent lines of a text, up to ``max_length`` lines if that is set;
     ``n_docs`` counts the documents that hold it. Each level is written to the
     shared folder, so lineage does not grow with the length.
     """
@@ -112,7 +112,7 @@ def extend_sequences(projected: DataFrame, min_docs: int = MIN_DOCS, max_length:
     )
     level = ordered.select("source", "doc", "text_key", "items", F.posexplode("items").alias("last", "seq"))
     results = None
-    for length in range(1, max_length + 1):
+    for length in count(1):
         counts = _frequent(level, ["source", "seq"], min_docs).withColumn("length", F.lit(length))
         counts = materialize(counts, f"sequences-{length}")
         results = counts if results is None else results.unionByName(counts)

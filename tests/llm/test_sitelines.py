@@ -39,3 +39,10 @@ def test_sequences_and_removal(spark):
     sequences = extend_sequences(frequent_lines(line_table(df))).collect()
     assert sorted((r.length, r.n_docs) for r in sequences) == [(1, 9), (1, 9), (2, 9)]
     assert found_lines(df.limit(0)).count() == 0
+
+
+def test_sequences_of_any_length(spark):
+    block = "\n".join(f"Line {c} of the legal notice of this site" for c in "abcdef")
+    df = spark.createDataFrame([(f"s{i}", block, "web", f"d{i}") for i in range(8)], "id string, text string, source string, doc string")
+    lengths = [r.length for r in extend_sequences(frequent_lines(line_table(df))).collect()]
+    assert sorted(lengths) == [n for n in range(1, 7) for _ in range(7 - n)]

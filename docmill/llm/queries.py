@@ -53,7 +53,8 @@ def p5_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = spark.read.parquet(f"{sf_dir}/parsed.parquet")
-    return sitelines.extend_sequences(sitelines.frequent_lines(materialize(sitelines.line_table(sections), "lines")))
+    projected = materialize(sitelines.frequent_lines(materialize(sitelines.line_table(sections), "lines")), "frequent-lines")
+    return sitelines.described(sitelines.FrequentSequences(projected).table(), projected, sections)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +130,7 @@ c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.sh
 SELECT id_a, id_b FROM c JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE c / (x.n + y.n - c) >= 0.6
 """
 
-P5_FOUND_SQL = r"""
+_SITE_LINES = r"""
 WITH RECURSIVE lines AS (SELECT id, source, doc, generate_subscripts(l, 1) AS line_no, unnest(l) AS line FROM (SELECT DISTINCT id, source, doc, string_split(text, chr(10)) AS l FROM parsed)),
 tidy AS (SELECT id, source, doc, line_no, trim(regexp_replace(line, '[\s\x{1c}-\x{1f}\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS line FROM lines),
 marks AS (SELECT id, line_no, row_number() OVER (PARTITION BY id ORDER BY line_no) AS k, substr(line, 1, 3) AS mark FROM tidy WHERE substr(line, 1, 3) IN ('```', '~~~')),
@@ -139,8 +140,24 @@ open AS (SELECT t.*, s.run FROM tidy t ASOF JOIN scan s ON s.id = t.id AND s.lin
 counted AS (SELECT id, source, doc, line_no, lower(regexp_replace(line, '\p{Nd}+', '0', 'g')) AS line FROM open WHERE run = ''),
 kept AS (SELECT * FROM counted WHERE length(line) >= 20 AND regexp_matches(line, '\p{L}')),
 frequent AS (SELECT source, line FROM kept GROUP BY source, line HAVING count(DISTINCT doc) >= 8)
-SELECT DISTINCT k.id, k.line_no FROM kept k JOIN frequent f ON k.source = f.source AND k.line = f.line
 """
+P5_FOUND_SQL = _SITE_LINES + "SELECT DISTINCT k.id, k.line_no FROM kept k JOIN frequent f ON k.source = f.source AND k.line = f.line"
+# Items, then every way to take items of a text in order; a sequence counts in how many documents it can be taken.
+P5_SEQUENCES_SQL = (
+    _SITE_LINES.rstrip()
+    + r""",
+rows AS (SELECT DISTINCT k.id, k.source, k.doc, k.line_no, k.line FROM kept k JOIN frequent f ON k.source = f.source AND k.line = f.line),
+beside AS (SELECT *, lag(line) OVER w AS before, lead(line) OVER w AS after FROM rows WINDOW w AS (PARTITION BY id, source, doc ORDER BY line_no)),
+sides AS (SELECT source, line, CASE WHEN count(before) = count(*) AND min(before) = max(before) THEN min(before) END AS before, CASE WHEN count(after) = count(*) AND min(after) = max(after) THEN min(after) END AS after FROM beside GROUP BY source, line),
+inner_lines AS (SELECT b.source, b.line FROM sides a JOIN sides b ON a.source = b.source AND a.after = b.line AND b.before = a.line),
+marked AS (SELECT r.*, sum(CASE WHEN i.line IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r.id, r.source, r.doc ORDER BY r.line_no) AS item FROM rows r LEFT JOIN inner_lines i ON i.source = r.source AND i.line = r.line),
+items AS (SELECT id, source, doc, item, string_agg(line, chr(10) ORDER BY line_no) AS lines, count(*) AS n FROM marked GROUP BY ALL),
+taken AS (SELECT id, source, doc, item, lines AS seq, 1 AS length, n AS n_lines FROM items
+UNION ALL SELECT t.id, t.source, t.doc, i.item, t.seq || chr(10) || i.lines, t.length + 1, t.n_lines + i.n FROM taken t JOIN items i ON i.id = t.id AND i.source = t.source AND i.doc = t.doc AND i.item > t.item)
+SELECT source, seq, length, n_lines, count(DISTINCT doc) AS n_docs FROM taken GROUP BY source, seq, length, n_lines HAVING count(DISTINCT doc) >= 8
+"""
+)
+
 
 P6_FOUND_SQL = """
 WITH good AS (SELECT vec_id, vector::DOUBLE[] AS v FROM points WHERE len(vector) = 64 AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vector, lambda x: x <> 0)) > 0),
@@ -159,4 +176,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p6_found": P6_FOUND_SQL}
+    return {"p3_found": P3_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p5_sequences": P5_SEQUENCES_SQL, "p6_found": P6_FOUND_SQL}

@@ -3,9 +3,10 @@
 ``clean_text`` strips HTML, Markdown, wiki and LaTeX syntax and keeps structure
 in one light form: ``#`` headings, ``-`` or ``1.`` list items, fenced code,
 ``a | b`` table rows and ``$`` formulas. ``keep_between`` then applies the
-line-block distribution to the stripped lines: lengths are summed over sliding
-windows of lines, a surge opens and a dive closes a stretch of text, and what
-lies outside every stretch (menus, crumbs, leftovers) is dropped.
+line-block distribution to the stripped lines: text lengths are summed over
+sliding windows of lines, a surge opens and a dive closes a stretch of text, and
+what lies outside every stretch (menus, crumbs, leftovers) is dropped. Text is
+what is read, not what is clicked: links and short labels in a row weigh nothing.
 """
 
 from __future__ import annotations
@@ -57,6 +58,7 @@ _TAG = re.compile(rf"<(/?)({'|'.join(sorted(_ELEMENTS, key=len, reverse=True))})
 _DECLARATION = re.compile(r"<!doctype\b[^<>]*>|<\?xml\b[^<>]*\?>|<!\[CDATA\[|\]\]>", re.I)
 _REFERENCE = re.compile(r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|([A-Za-z][A-Za-z0-9]{1,31}));")
 _HIDDEN = re.compile(r"<(script|style)\b[^<>]*>(?:(?!<\1\b).)*?</\1\s*>", re.I | re.S)
+_ANCHOR = re.compile(r"<a\s[^<>]*>([^<>\n]+)</a", re.I)
 _ALT = re.compile(r"\balt\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]*))", re.I)
 _WIKI_HEADING = re.compile(r"^(={2,6})[ \t]*([^=\n](?:[^\n]*?[^=\n])?)[ \t]*\1[ \t]*$", re.M)
 _WIKI_LINK = re.compile(r"\[\[(?![\s\-])([^\[\]\n]+)\]\]")
@@ -89,6 +91,7 @@ class _Cleaner:
     def __init__(self, text: str):
         self.seen: set[str] = set()
         self.held: list[str] = []
+        self.links: set[str] = set()
         self.formulas = self.blocks = 0
         text = _LINE_ENDS.sub("\n", text.replace("\x00", ""))
         if "```" in text or "~~~" in text or "<pre" in text or "<PRE" in text or "<Pre" in text:
@@ -167,7 +170,11 @@ class _Cleaner:
         target = m[1]
         if re.match(r"[\w:]+", target)[0] in _ATTRIBUTES if re.match(r"[\w:]+", target) else False:
             return m[0]
-        return self._saw("wiki", target.rpartition("|")[2])
+        return self._saw("wiki", self._link(target.rpartition("|")[2]))
+
+    def _link(self, label: str) -> str:
+        self.links.add(label.strip())
+        return label
 
     def _wiki_rows(self, table: str) -> str:
         rows: list[list[str]] = [[]]
@@ -193,6 +200,7 @@ class _Cleaner:
             text = _COMMENT.sub(lambda m: self._saw("html", " "), text)
             text = _HIDDEN.sub(lambda m: self._saw("html", " "), text)
             text = _DECLARATION.sub(lambda m: self._saw("html", " ") if m[0] != "]]>" else m[0], text)
+            self.links.update(map(str.strip, _ANCHOR.findall(text)))
             text = _TAG.sub(self._tag, text)
         if "&" in text:
             text = _REFERENCE.sub(self._reference, text)
@@ -255,7 +263,7 @@ class _Cleaner:
             text = _QUOTE.sub(lambda m: self._saw("markdown", ""), text)
         if "](" in text:
             text = _IMAGE.sub(lambda m: self._saw("markdown", m[1]), text)
-            text = _LINK.sub(lambda m: self._saw("markdown", m[1]), text)
+            text = _LINK.sub(lambda m: self._saw("markdown", self._link(m[1])), text)
         if "*" in text:
             text = _STARS.sub(lambda m: self._saw("markdown", m[2]), text)
         if "_" in text:
@@ -272,38 +280,88 @@ class _Cleaner:
 
 
 _STRUCTURE = re.compile(r"(#{1,6} )|(- |\d{1,9}\. )|(.* \| .*|.*\|$|\|)|(.*\$)")
+_MARK = re.compile(r"\s*(?:[-*+] |\d{1,9}\. )?")
+_LABELS = re.compile(r"\s{0,2}[|·•»›>/]\s{1,2}|\s{3,}")
+_CRUMBS = re.compile(r"\s[·•»›]\s")
+_SENTENCE_END = (".", "!", "?", ":", ";", "。", "！", "？", "：")
+
+
+def text_weight(line: str, links: set[str]) -> int:
+    """Characters of running text, without white space, list mark and links.
+
+    A line of nothing but links, and one of three or more short labels set
+    apart by dots or arrows (menus, crumbs), weigh nothing.
+    """
+    body = line[_MARK.match(line).end() :]
+    if links or _CRUMBS.search(body):
+        labels = [label.strip() for label in _LABELS.split(body.strip(" |")) if label.strip()]
+        if all(label in links for label in labels):
+            return 0
+        if len(labels) > 2 and _CRUMBS.search(body) and all(len(label.split()) < 6 and not label.endswith(_SENTENCE_END) for label in labels):
+            return 0
+    return len(body) - sum(map(str.isspace, body))
 
 
-def keep_between(lines: list[str], window: int = 3, surge: int = 40, floor: int = 12) -> list[bool]:
+def keep_between(lines: list[str], links: frozenset[str] | set[str] = frozenset(), window: int = 3, surge: int = 40, floor: int = 20) -> list[bool]:
     """Which lines lie between a surge and the next dive of the line-block distribution.
 
-    The length of a line is its number of characters without white space; a
-    line of structure or code weighs at least ``surge``. A block is the sum of
-    ``window`` lines from a line on. Text begins where a block reaches
-    ``surge`` and ends where the block falls under ``floor``. Blank lines take
-    no part in the distribution and are kept.
+    A block is the sum of the weights (:func:`text_weight`) of ``window`` lines
+    from a line on. Text begins in a block that reaches ``surge``, with its
+    first line of a full share, and ends where a block falls under ``floor``
+    (or its part, for the shorter blocks at the end). Between two stretches
+    only lines without weight are dropped. Code and formulas are kept wherever they stand and bridge a stretch without
+    opening one; items after a line that ends with a colon weigh a full share;
+    a heading stays if anything below it does, or nothing is below it. Blank
+    lines take no part and are kept. Where no block reaches ``surge`` there is
+    no text to tell apart, and all lines are kept.
     """
     filled = [k for k, line in enumerate(lines) if line.strip()]
-    weights = []
-    in_code = False
+    share = -(-surge // window)
+    weights, solid, headings = [], [], []
+    in_code = in_formula = led = False
     for k in filled:
         line = lines[k]
-        fence = line.startswith("```")
-        solid = in_code or fence or _STRUCTURE.match(line)
+        fence = not in_formula and line.startswith("```")
+        formula = not in_code and not fence and "$" in line
+        opens = formula and line.strip() == "$$"
+        fixed = in_code or fence or formula or in_formula
         in_code ^= fence
-        size = len(line) - line.count(" ")
-        weights.append(max(size, surge) if solid else size)
-    keep = [True] * len(lines)
-    inside = False
+        in_formula ^= opens
+        heading = not fixed and line.startswith("#") and _STRUCTURE.match(line) is not None
+        weight = max(floor, len(line)) if fixed else 0 if heading else text_weight(line, links)
+        item = _MARK.match(line).end() > len(line) - len(line.lstrip())
+        if led and item and weight:
+            weight = max(weight, share)
+        elif not fixed:
+            led = line.rstrip().endswith((":", "："))
+        weights.append(weight)
+        solid.append(fixed)
+        headings.append(heading)
+    kept = list(solid)
+    inside = found = False
+    last = -1
     total = sum(weights[:window])
-    for at, k in enumerate(filled):
-        if inside and total < floor or not inside and total >= surge:
-            inside = not inside
-        if not inside or weights[at] < floor and total - weights[at] < floor and at + window >= len(filled):
-            keep[k] = weights[at] >= surge
+    for at in range(len(filled)):
+        if not inside and total >= surge and weights[at] >= share and not solid[at]:
+            inside = found = True
+            for gap in range(last + 1, at) if last >= 0 else ():
+                kept[gap] |= weights[gap] > 0
+        elif inside and total * window < floor * min(window, len(filled) - at):
+            inside = False
+        kept[at] |= inside
+        last = at if inside else last
         total += (weights[at + window] if at + window < len(weights) else 0) - weights[at]
-    if not any(keep[k] for k in filled):
-        return [True] * len(lines)
+    keep = [True] * len(lines)
+    if not found:
+        return keep
+    below = empty = True
+    for at in reversed(range(len(filled))):
+        if headings[at]:
+            kept[at] = below or empty
+            below, empty = False, True
+        else:
+            below, empty = (kept[at] or below) and not (empty and not kept[at]), False
+        keep[filled[at]] = kept[at]
     return keep
 
 
@@ -313,7 +371,7 @@ def clean_text(text: str | None) -> tuple:
         return [], None, 0, 0, 0, 0, 0, 0, 0, 0
     done = _Cleaner(text)
     lines = [line.rstrip() for line in done.text.split("\n")]
-    keep = keep_between(lines)
+    keep = keep_between(lines, done.links)
     out, blank, counts, in_code = [], True, [0, 0, 0], False
     for line, kept in zip(lines, keep):
         if not line:

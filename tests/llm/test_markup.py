@@ -40,16 +40,44 @@ def test_structure_is_kept():
     assert counts[2:7] == [2, 2, 1, 2, 1]
 
 
+PARAGRAPH = "This is a paragraph of the page that is long enough to count as text."
+
+
 def test_line_blocks_drop_menus_around_text():
-    lines = ["Home", "Docs", "About", "", "This is a paragraph of the page that is long enough to count as text.", "It goes on for another line of some length.", "", "Top", "Help", "x"]
-    keep = keep_between(lines)
-    kept = [line for line, k in zip(lines, keep) if k and line]
-    assert kept[:2] != ["Home", "Docs"] and lines[4] in kept and lines[5] in kept and "x" not in kept
-    assert keep_between(["a", "b"]) == [True, True]
+    lines = ["Home", "Docs", "About", "", PARAGRAPH, "It goes on for another line of some length.", "", "Top", "Help", "x"]
+    assert keep_between(lines) == [False, False, False, True, True, True, True, False, False, False]
+    assert keep_between(["a", "b"]) == [True, True] and keep_between([]) == []
+
+
+@pytest.mark.parametrize(
+    "menu",
+    [
+        "- Home\n- Docs\n- Login", "Home » Guides » Solver options", "* [The documentation of all classes](a.html)\n* [The list of all files](b.html)",
+        "<ul><li><a href='x'>Introduction to the library</a></li><li><a href='y'>Frequently asked questions</a></li></ul>", "[Previous page](p) | [Next page of the guide](n) | [Up](u)", "[[Main page]] · [[Help]]",
+    ],
+)
+def test_menus_and_crumbs_are_dropped(menu):
+    for text in (f"{menu}\n\n{PARAGRAPH}\n", f"{PARAGRAPH}\n\n{menu}\n", f"{menu}\n\n# Title\n\n{PARAGRAPH}\n\n{menu}"):
+        clean = clean_text(text)
+        assert clean[1] == (f"# Title\n\n{PARAGRAPH}" if "# Title" in text else PARAGRAPH) and clean[-1] >= 1
+    assert clean_text(menu)[-1] == 0
+
+
+def test_a_heading_goes_with_its_menu():
+    menu = "## Navigation\n\n- Home\n- Docs\n- Login"
+    assert clean_text(f"{menu}\n\n# Title\n\n{PARAGRAPH}\n\n{menu}")[1] == f"# Title\n\n{PARAGRAPH}"
+
+
+def test_structure_of_the_text_stays():
+    parts = ["# Title", PARAGRAPH, "- cg\n- gmres\n- bicg", "## Options", "They are:\n- on\n- off", "```\nx\n```", "$$ a $$", "## Short words\n\n- the first item of a list\n- the second item of it", "| a | b |\n| 1 | 2 |", f"See [the guide](g.html) for more. {PARAGRAPH}", "```c\nend();\n```", "## Last"]
+    text = "\n\n".join(parts)
+    clean = clean_text(text)
+    assert clean[1] == text.replace("[the guide](g.html)", "the guide") and clean[-1] == 0
+    assert clean_text(PARAGRAPH + "\n\n\\begin{equation}\na\n\\end{equation}\n")[1].endswith("\\end{equation}\n$$")
 
 
 def test_hostile_texts_take_linear_time():
-    for text in ["<" * 50_000, "*a" * 30_000, "[" * 30_000, "$a " * 30_000, "`" * 50_001, "{{" * 30_000, "\\(" * 20_000, "''a" * 20_000, "_a " * 30_000, "| " * 20_000, "&a" * 20_000, "x" * 300_000]:
+    for text in ["<" * 50_000, "*a" * 30_000, "[" * 30_000, "$a " * 30_000, "`" * 50_001, "{{" * 30_000, "\\(" * 20_000, "''a" * 20_000, "_a " * 30_000, "| " * 20_000, "&a" * 20_000, "x" * 300_000, "[a](b)" + " " * 50_000 + "x » y", "[a](b)\n" * 5_000, "a » " * 30_000]:
         clean_text(text)
 
 

@@ -69,7 +69,7 @@ def test_a_heading_goes_with_its_menu():
 
 
 def test_structure_of_the_text_stays():
-    parts = ["# Title", PARAGRAPH, "- cg\n- gmres\n- bicg", "## Options", "They are:\n- on\n- off", "```\nx\n```", "$$ a $$", "## Short words\n\n- the first item of a list\n- the second item of it", "| a | b |\n| 1 | 2 |", f"See [the guide](g.html) for more. {PARAGRAPH}", "```c\nend();\n```", "## Last"]
+    parts = ["# Title", PARAGRAPH, "- cg\n- gmres\n- bicg", "## Options", "They are:\n- on\n- off", "```\nx\n```", "$$a$$", "## Short words\n\n- the first item of a list\n- the second item of it", "| a | b |\n| 1 | 2 |", f"See [the guide](g.html) for more. {PARAGRAPH}", "```c\nend();\n```", "## Last"]
     text = "\n\n".join(parts)
     clean = clean_text(text)
     assert clean[1].replace("\n\n", "\n") == text.replace("[the guide](g.html)", "the guide").replace("\n\n", "\n") and clean[-1] == 0

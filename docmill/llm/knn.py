@@ -1,12 +1,17 @@
 """The k most similar vectors for every vector, by cross-polytope hashing.
 
 A vector is rotated by ``H D3 H D2 H D1`` (fast Hadamard transforms and random
-signs) and hashed to the nearest signed axis; a table joins the axes of two
-rotations to one bucket. Every distinct vector is indexed once per table and
-looks into its own bucket and the next likely ones (multiprobe). Candidates are
-ranked by their exact cosine inside the bucket, so the shuffle carries vectors
-to buckets and nothing quadratic leaves a task. Buckets above a size are
-compared whole, in pairs of blocks that are spread over tasks.
+signs) and hashed to the nearest signed axis; a table joins the axes of two or
+more rotations to one bucket. Every distinct vector is indexed once per table
+and looks into its own bucket and the next likely ones (multiprobe). Candidates
+are ranked by their exact cosine inside the bucket, so the shuffle carries
+vectors to buckets and nothing quadratic leaves a task. Buckets above a size are
+compared whole, in pairs of blocks that are spread over tasks; a vector that
+meets fewer than k others is compared with all.
+
+Vectors and results travel packed, one binary value per batch and target
+partition, and a vector goes to a partition once, however many of its buckets
+are there.
 """
 
 from __future__ import annotations
@@ -24,6 +29,10 @@ TABLES = 8
 PROBES = 4
 #: Indexed vectors of a bucket that are compared with each other in one piece.
 BUCKET_ROWS = 8192
+#: Vectors that share a bucket on average at most; above it a table takes one more rotation.
+FILL = 2048
+#: Such buckets, whose numbers every task holds.
+MAX_LARGE = 1_000_000
 DIGITS = 9
 
 
@@ -53,21 +62,20 @@ class CrossPolytope:
             x = hadamard(x * signs)
         return x / self.width**1.5
 
-    def pair_keys(self, unit: np.ndarray, first: int, probes: int) -> np.ndarray:
-        """Buckets of functions ``first`` and ``first + 1``, the likeliest first: shape (n, probes)."""
-        ranked = []
+    def keys(self, unit: np.ndarray, first: int, count: int, probes: int) -> np.ndarray:
+        """Buckets of ``count`` functions from ``first`` on, the likeliest first: shape (n, probes)."""
         tops = min(4, self.width)
-        for f in (first, first + 1):
+        code, loss = np.zeros((len(unit), 1), np.int64), np.zeros((len(unit), 1))
+        for f in range(first, first + count):
             y = self.rotate(unit, f)
             size = np.abs(y)
             axes = np.argsort(-size, axis=1, kind="stable")[:, :tops]
             best = np.take_along_axis(size, axes, 1)
-            code = axes * 2 + (np.take_along_axis(y, axes, 1) < 0)
-            ranked.append((code, (best[:, :1] - best) ** 2))
-        loss = (ranked[0][1][:, :, None] + ranked[1][1][:, None, :]).reshape(len(unit), -1)
-        keys = (ranked[0][0][:, :, None] * (2 * self.width) + ranked[1][0][:, None, :]).reshape(len(unit), -1)
+            signed = axes * 2 + (np.take_along_axis(y, axes, 1) < 0)
+            code = (code[:, :, None] * (2 * self.width) + signed[:, None, :]).reshape(len(unit), -1)
+            loss = (loss[:, :, None] + ((best[:, :1] - best) ** 2)[:, None, :]).reshape(len(unit), -1)
         order = np.argsort(loss, axis=1, kind="stable")[:, :probes]
-        return np.take_along_axis(keys, order, 1)
+        return np.take_along_axis(code, order, 1)
 
 
 def usable(vector: str, dim: int):
@@ -81,9 +89,17 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
-def _entries(vectors: DataFrame, dim: int, tables: int, probes: int, functions: int, first: int) -> DataFrame:
-    """``(slot, home, rep, vector)``: each vector in its buckets; ``home`` marks the bucket that indexes it."""
-    hashes = CrossPolytope(dim, functions)
+def functions_for(rows: int, width: int, least: int = 2) -> int:
+    """Rotations per table, so that ``FILL`` vectors share a bucket on average at most."""
+    functions = least
+    while rows > FILL * (2 * width) ** functions:
+        functions += 1
+    return functions
+
+
+def _hashed(vectors: DataFrame, dim: int, tables: int, probes: int, functions: int) -> DataFrame:
+    """``(rep, vector, slots)``: the buckets of each vector, ``probes`` per table; the first of a table indexes it."""
+    hashes = CrossPolytope(dim, tables * functions)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,21 +107,164 @@ def _entries(vectors: DataFrame, dim: int, tables: int, probes: int, functions:
                 piece = batch.slice(start, 2048)
                 x = _matrix(piece.column("vector"), dim)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                n = len(x)
-                slots = []
-                for t in range(tables):
-                    keys = hashes.pair_keys(x, first + 2 * t, probes)
-                    slots.append(keys + np.int64(t) * (4 * hashes.width * hashes.width))
-                slot = np.concatenate(slots, axis=1)
-                row = np.repeat(np.arange(n), slot.shape[1])
-                home = np.zeros(slot.shape, bool)
-                home[:, ::probes] = True
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot.ravel()), pa.array(home.ravel()), piece.column("rep").take(pa.array(row)), piece.column("vector").take(pa.array(row))],
-                    names=["slot", "home", "rep", "vector"],
-                )
-
-    return vectors.select("rep", "vector").mapInArrow(emit, "slot bigint, home boolean, rep bigint, vector array<float>")
+                keys = [hashes.keys(x, functions * t, functions, probes) * tables + t for t in range(tables)]
+                slots = np.concatenate(keys, axis=1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, slots.size + 1, slots.shape[1], dtype=np.int32)), pa.array(slots.ravel()))
+                yield pa.RecordBatch.from_arrays([piece.column("rep"), piece.column("vector"), lists], names=["rep", "vector", "slots"])
+
+    return vectors.select("rep", "vector").mapInArrow(emit, "rep bigint, vector array<float>, slots array<bigint>")
+
+
+def _slot_sizes(hashed: DataFrame, probes: int) -> DataFrame:
+    """``(slot, size)``: number of vectors that each bucket indexes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, size = np.unique(batch.column(0).flatten().to_numpy()[::probes], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(size)], names=["slot", "size"])
+
+    return hashed.select("slots").mapInArrow(count, "slot bigint, size bigint").groupBy("slot").agg(F.sum("size").alias("size"))
+
+
+_ENTRY = np.dtype([("slot", "<i8"), ("at", "<i4"), ("home", "?")])
+_PAIR = np.dtype([("rep", "<i8"), ("other", "<i8"), ("cosine", "<f8")])
+
+
+def _cuts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    if not len(sorted_values):
+        return np.zeros(1, np.int64)
+    return np.r_[0, np.nonzero(sorted_values[1:] != sorted_values[:-1])[0] + 1, len(sorted_values)]
+
+
+def _pack_entries(hashed: DataFrame, dim: int, tables: int, probes: int, parts: int, left_out: np.ndarray) -> DataFrame:
+    """``(part, reps, vectors, entries)``: what a batch sends to a partition; slots ``left_out`` are not sent.
+
+    The partition of a bucket follows from its table and its leading axes, which
+    the probes of a vector often share.
+    """
+    width = 2 * CrossPolytope(dim, 0).width
+    spread = np.int64(max(1, -(-parts // (2 * width))))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                piece = batch.slice(start, 2048)
+                vectors = piece.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                reps = piece.column("rep").to_numpy()
+                slots = piece.column("slots").flatten().to_numpy()
+                row = np.repeat(np.arange(len(reps)), tables * probes)
+                home = np.arange(len(slots)) % probes == 0
+                if len(left_out):
+                    stays = left_out[np.minimum(np.searchsorted(left_out, slots), len(left_out) - 1)] != slots
+                    slots, row, home = slots[stays], row[stays], home[stays]
+                table, code = slots % tables, slots // tables
+                lead = (code // width * tables + table) * spread + code % width % spread
+                part = (lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(parts)
+                order = np.lexsort((row, part))
+                part, row, slots, home = part[order].astype(np.int32), row[order], slots[order], home[order]
+                cuts = _cuts(part)
+                out = []
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    sent, at = np.unique(row[a:b], return_inverse=True)
+                    entries = np.empty(b - a, _ENTRY)
+                    entries["slot"], entries["at"], entries["home"] = slots[a:b], at, home[a:b]
+                    out.append((part[a], reps[sent].tobytes(), vectors[sent].astype("<f4").tobytes(), entries.tobytes()))
+                columns = list(zip(*out)) if out else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "reps", "vectors", "entries"])
+
+    return hashed.select("rep", "vector", "slots").mapInArrow(pack, "part int, reps binary, vectors binary, entries binary")
+
+
+def _bucket_best(x: np.ndarray, ids: np.ndarray, entries: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """Pairs of each entry with the ``k`` nearest indexed vectors of its bucket; small buckets are scored together."""
+    entries = entries[np.lexsort((ids[entries["at"]], entries["slot"]))]
+    cuts = _cuts(entries["slot"])
+    homes = np.add.reduceat(entries["home"].astype(np.int64), cuts[:-1]) if len(entries) else np.zeros(0, np.int64)
+    sizes = np.diff(cuts)
+    useful = np.nonzero((homes > 0) & (sizes > 1))[0]
+    padded = 1 << np.ceil(np.log2(np.maximum(sizes, 2))).astype(np.int64), 1 << np.ceil(np.log2(np.maximum(homes, 2))).astype(np.int64)
+    useful = useful[np.lexsort((padded[0][useful], padded[1][useful]))]
+    shape = padded[1][useful] << 32 | padded[0][useful]
+    runs = _cuts(shape)
+    indexed = np.nonzero(entries["home"])[0]
+    home_starts = np.searchsorted(indexed, cuts[:-1])
+    at = entries["at"]
+    for a, b in zip(runs[:-1], runs[1:]):
+        asked, data = int(padded[0][useful[a]]), int(padded[1][useful[a]])
+        for first in range(a, b, max(1, 2_000_000 // (asked * data))):
+            some = useful[first : min(b, first + max(1, 2_000_000 // (asked * data)))]
+            for low in range(0, asked, 4096):  # a bucket of many askers is scored in slices
+                place = np.arange(low, min(asked, low + 4096))
+                q_ok = place < sizes[some, None]
+                q = at[np.minimum(cuts[some, None] + place, len(at) - 1)]
+                d_ok = np.arange(data) < homes[some, None]
+                d = at[indexed[np.minimum(home_starts[some, None] + np.arange(data), len(indexed) - 1)]]
+                scores = np.round(np.matmul(x[q], x[d].transpose(0, 2, 1)), DIGITS)
+                scores[~d_ok[:, None, :].repeat(len(place), 1) | (ids[q][:, :, None] == ids[d][:, None, :])] = -np.inf
+                # Indexed vectors stand in the order of their ids, which a stable sort keeps among equals.
+                best = np.argsort(-scores, axis=2, kind="stable")[:, :, :k]
+                value = np.take_along_axis(scores, best, 2)
+                ok = (value > -np.inf) & q_ok[:, :, None]
+                found = np.empty(int(ok.sum()), _PAIR)
+                found["rep"] = np.broadcast_to(ids[q][:, :, None], ok.shape)[ok]
+                found["other"] = ids[np.take_along_axis(d[:, None, :].repeat(len(place), 1), best, 2)][ok]
+                found["cosine"] = value[ok]
+                yield found
+
+
+def _top(pairs: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` best distinct partners of each ``rep``, ties to the smallest."""
+    pairs = pairs[np.lexsort((-pairs["cosine"], pairs["other"], pairs["rep"]))]
+    if not len(pairs):
+        return pairs
+    fresh = np.r_[True, (pairs["rep"][1:] != pairs["rep"][:-1]) | (pairs["other"][1:] != pairs["other"][:-1])]
+    pairs = pairs[fresh]
+    pairs = pairs[np.lexsort((pairs["other"], -pairs["cosine"], pairs["rep"]))]
+    cuts = _cuts(pairs["rep"])
+    rank = np.arange(len(pairs)) - np.repeat(cuts[:-1], np.diff(cuts))
+    return pairs[rank < k]
+
+
+def _ranked(packed: DataFrame, dim: int, k: int, parts: int, merging: int) -> DataFrame:
+    """``(rep, other, cosine)``: the best ``k`` of each vector over all of its buckets."""
+
+    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reps, vectors, entries, base = [], [], [], 0
+        for batch in batches:
+            for _, r, v, e in zip(*(c.to_pylist() for c in batch.columns)):
+                entry = np.frombuffer(e, _ENTRY).copy()
+                entry["at"] += base
+                reps.append(np.frombuffer(r, "<i8"))
+                vectors.append(np.frombuffer(v, "<f4").reshape(-1, dim))
+                entries.append(entry)
+                base += len(reps[-1])
+        if not entries:
+            return
+        x = np.concatenate(vectors).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        held, size = [], 0
+        for found in _bucket_best(x, np.concatenate(reps), np.concatenate(entries), k):
+            held.append(found)
+            size += len(found)
+            if size > 1_000_000:
+                held = [_top(np.concatenate(held), k)]
+                size = len(held[0])
+        pairs = _top(np.concatenate(held), k) if held else np.empty(0, _PAIR)
+        part = (pairs["rep"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(merging)
+        order = np.argsort(part, kind="stable")
+        part, pairs = part[order].astype(np.int32), pairs[order]
+        cuts = _cuts(part)
+        yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]] if len(part) else part), pa.array([pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["part", "pairs"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(blob, _PAIR) for batch in batches for blob in batch.column(1).to_pylist()]
+        if held:
+            best = _top(np.concatenate(held), k)
+            yield pa.RecordBatch.from_arrays([pa.array(best[name].copy()) for name in _PAIR.names], names=list(_PAIR.names))
+
+    found = packed.repartitionById(parts, "part").mapInArrow(rank, "part int, pairs binary")
+    return found.repartitionById(merging, "part").mapInArrow(merge, "rep bigint, other bigint, cosine double")
 
 
 def _best(scores: np.ndarray, data_ids: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,23 +286,6 @@ def _best(scores: np.ndarray, data_ids: np.ndarray, query_ids: np.ndarray, k: in
     return row[keep], col[keep], value[keep]
 
 
-def _home_slots(vectors: DataFrame, dim: int, tables: int, functions: int) -> DataFrame:
-    """``slot`` of every vector in every table, without the vectors: for counting buckets."""
-    hashes = CrossPolytope(dim, functions)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                x = _matrix(batch.slice(start, 2048).column(0), dim)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                for t in range(tables):
-                    keys = hashes.pair_keys(x, 2 * t, 1)[:, 0] + np.int64(t) * (4 * hashes.width * hashes.width)
-                    slot, size = np.unique(keys, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(size)], names=["slot", "size"])
-
-    return vectors.select("vector").mapInArrow(emit, "slot bigint, size bigint")
-
-
 def _rank_buckets(entries: DataFrame, keys: list[str], dim: int, k: int, parts: int, apart: bool = False) -> DataFrame:
     """``(rep, other, cosine)``: the best ``k`` of each query within each of its buckets.
 
@@ -212,7 +354,7 @@ def _rank_buckets(entries: DataFrame, keys: list[str], dim: int, k: int, parts:
 
 
 def nearest_vectors(
-    points: DataFrame, k: int = 5, dim: int = 64, tables: int = TABLES, probes: int = PROBES, bucket_rows: int = BUCKET_ROWS
+    points: DataFrame, k: int = 5, dim: int = 64, tables: int = TABLES, probes: int = PROBES, bucket_rows: int = BUCKET_ROWS, functions: int | None = None
 ) -> DataFrame:
     """``(vec_id, neighbour, cosine, rank)``: the ``k`` nearest others of each usable vector.
 
@@ -221,8 +363,10 @@ def nearest_vectors(
     values, all zero) and rows with null ``vec_id`` take no part. Other columns
     are ignored; a repeated ``vec_id`` counts once (its vectors must agree).
     Equal vectors are hashed once, as one class with its ``k + 1`` smallest
-    ids, so a vector repeated in most rows costs no more than a rare one. Fewer
-    than ``k`` rows come out only where hashing finds fewer candidates.
+    ids, so a vector repeated in most rows costs no more than a rare one. A
+    vector that meets fewer than ``k`` other classes in its buckets is compared
+    with all, so fewer than ``k`` rows come out only where there are fewer
+    others. ``functions`` per table follow from the number of vectors if unset.
     """
     vectors = points.select("vec_id", "vector").filter(F.col("vec_id").isNotNull() & usable("vector", dim)).select("vec_id", F.col("vector").cast("array<float>").alias("vector"))
     vectors = vectors.withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64("vector", F.lit(7))})
@@ -233,21 +377,23 @@ def nearest_vectors(
         "vector-classes",
     )
     count = classes.count()
+    functions = functions or functions_for(count, CrossPolytope(dim, 0).width)
+    hashed = materialize(_hashed(classes, dim, tables, probes, functions), "hashed-vectors")
     parts = tasks_for(count * tables * probes, 60_000, least=12)
-    functions = 2 * tables
-    entries = _entries(classes, dim, tables, probes, functions, 0)
-    sizes = _home_slots(classes, dim, tables, functions).groupBy("slot").agg(F.sum("size").alias("size")).filter(F.col("size") > bucket_rows)
-    hot = materialize(sizes, "large-buckets")
-    if hot.isEmpty():
-        ranked = _rank_buckets(entries, ["slot"], dim, k, parts)
-    else:
-        ranked = _rank_buckets(entries.join(hot, "slot", "left_anti"), ["slot"], dim, k, parts).unionByName(
-            _rank_large(entries.join(hot.select("slot"), "slot", "left_semi"), dim, k, parts, bucket_rows)
-        )
-    best = Window.partitionBy("rep").orderBy(F.desc("cosine"), "other")
-    # A pair found in several tables is equal rows, which share a dense rank; so each task can
-    # drop what is beyond k before the only shuffle, and repeats go after it.
-    top = ranked.withColumn("n", F.dense_rank().over(best)).filter(F.col("n") <= k).groupBy("rep", "other").agg(F.max("cosine").alias("cosine"))
+    large = _slot_sizes(hashed, probes).filter(F.col("size") > bucket_rows).select("slot").limit(MAX_LARGE + 1).collect()
+    if len(large) > MAX_LARGE:
+        raise ValueError(f"more than {MAX_LARGE} buckets above {bucket_rows} vectors; use more functions per table")
+    left_out = np.sort(np.array([r.slot for r in large], np.int64))
+    top = _ranked(_pack_entries(hashed, dim, tables, probes, parts, left_out), dim, k, parts, tasks_for(count, 50_000, least=12))
+    if len(large):
+        each = hashed.select("rep", "vector", F.posexplode("slots").alias("at", "slot")).withColumn("home", F.col("at") % probes == 0)
+        slots = points.sparkSession.createDataFrame([(int(slot),) for slot in left_out], "slot bigint")
+        top = _best_rows(top.unionByName(_rank_large(each.join(F.broadcast(slots), "slot"), dim, k, parts, bucket_rows)), k)
+    top = materialize(top, "best-candidates")
+    some = classes.select("rep").join(top.groupBy("rep").agg(F.count(F.lit(1)).alias("n")), "rep", "left").filter(F.coalesce("n", F.lit(0)) < min(k, count - 1))
+    short = materialize(classes.select("rep", "vector").join(some.select("rep"), "rep", "left_semi"), "short-of-candidates")
+    if not short.isEmpty():
+        top = _best_rows(top.unionByName(_against_all(short, classes, dim, k, count)), k)
     others = classes.select(F.col("rep").alias("other"), "ids")
     found = top.join(others, "other").select("rep", F.explode(F.transform("ids", lambda i: F.struct((-F.col("cosine")).alias("less"), i.alias("id")))).alias("near"))
     own = classes.filter(F.size("ids") > 1).select("rep", F.explode(F.transform("ids", lambda i: F.struct(F.lit(-1.0).alias("less"), i.alias("id")))).alias("near"))
@@ -260,6 +406,22 @@ def nearest_vectors(
     return rows.select("vec_id", F.col("near.id").alias("neighbour"), (-F.col("near.less")).alias("cosine"), (F.col("rank") + 1).alias("rank"))
 
 
+def _best_rows(rows: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` of the rows ``(rep, other, cosine)`` of each ``rep``, repeats counted once."""
+    best = Window.partitionBy("rep").orderBy(F.desc("cosine"), "other")
+    # Equal rows share a dense rank; so each task can drop what is beyond k before the shuffle, and repeats go after it.
+    return rows.withColumn("n", F.dense_rank().over(best)).filter(F.col("n") <= k).groupBy("rep", "other").agg(F.max("cosine").alias("cosine"))
+
+
+def _against_all(asked: DataFrame, data: DataFrame, dim: int, k: int, count: int) -> DataFrame:
+    """``(rep, other, cosine)``: the best ``k`` of each of the ``asked`` vectors within each block of the ``data``."""
+    blocks = tasks_for(count, 20_000)
+    block = F.pmod(F.xxhash64("rep"), F.lit(blocks))
+    indexed = data.select(block.alias("slot"), F.lit(True).alias("home"), "rep", "vector")
+    sent = asked.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("slot"), F.lit(False).alias("home"), "rep", "vector")
+    return _rank_buckets(indexed.unionByName(sent), ["slot"], dim, k, blocks, apart=True)
+
+
 def _rank_large(entries: DataFrame, dim: int, k: int, parts: int, bucket_rows: int) -> DataFrame:
     """Buckets above ``bucket_rows``: every query is compared with every indexed row, block by block."""
     entries = entries.select("slot", "home", "rep", "vector")
@@ -287,13 +449,8 @@ def recall_report(points: DataFrame, found: DataFrame, k: int = 5, dim: int = 64
     """
     base = points.filter(F.col("vec_id").isNotNull() & usable("vector", dim)).select("vec_id", F.col("vector").cast("array<float>").alias("vector"))
     asked = base.filter(F.col("vec_id") % every == 0)
-    queries = asked.select(F.col("vec_id").alias("rep"), "vector")
-    blocks = max(1, -(-base.count() // 20_000))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
-    data = base.select(block.alias("slot"), F.lit(True).alias("home"), F.col("vec_id").alias("rep"), "vector")
-    sent = queries.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("slot"), F.lit(False).alias("home"), "rep", "vector")
-    ranked = _rank_buckets(data.unionByName(sent), ["slot"], dim, k, blocks)
+    queries, data = (df.select(F.col("vec_id").alias("rep"), "vector") for df in (asked, base))
     best = Window.partitionBy("rep").orderBy(F.desc("cosine"), "other")
-    truth = ranked.distinct().join(asked.select(F.col("vec_id").alias("rep")), "rep", "left_semi").withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k)
+    truth = _against_all(queries, data, dim, k, base.count()).distinct().withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k)
     hits = found.select(F.col("vec_id").alias("rep"), F.col("neighbour").alias("other"), F.lit(1).alias("hit"))
     return truth.join(hits, ["rep", "other"], "left").groupBy(F.col("rep").alias("vec_id")).agg(F.count(F.lit(1)).alias("n_true"), F.count("hit").alias("n_found"))

@@ -1,6 +1,6 @@
 import numpy as np
 
-from docmill.llm.knn import CrossPolytope, found_pairs, hadamard, nearest_vectors, recall_report
+from docmill.llm.knn import CrossPolytope, found_pairs, functions_for, hadamard, nearest_vectors, recall_report
 from tests.llm.data import DATA
 
 SCHEMA = "vec_id bigint, vector array<float>, cosine string"
@@ -33,7 +33,8 @@ def test_hadamard_is_orthogonal():
     hashes = CrossPolytope(5, 2)
     x = np.random.default_rng(0).normal(size=(3, 5))
     assert np.allclose(np.linalg.norm(hashes.rotate(x, 0), axis=1), np.linalg.norm(x, axis=1))
-    assert (hashes.pair_keys(x, 0, 3) == CrossPolytope(5, 2).pair_keys(x, 0, 3)).all()
+    assert (hashes.keys(x, 0, 2, 3) == CrossPolytope(5, 2).keys(x, 0, 2, 3)).all()
+    assert [functions_for(n, 64) for n in (0, 30_000_000, 40_000_000, 4_000_000_000, 5_000_000_000)] == [2, 2, 3, 3, 4]
 
 
 def test_recall_on_the_table(spark):
@@ -44,6 +45,11 @@ def test_recall_on_the_table(spark):
     assert hits / sum(map(len, expected.values())) >= 0.99
     pairs = {tuple(r) for r in found_pairs(points).collect()}
     assert all(a < b for a, b in pairs)
+    # Large buckets, and more rotations per table: every vector still comes out with five neighbours.
+    for options in ({"bucket_rows": 10}, {"functions": 3}):
+        other = found(points, **options)
+        assert sum(len(set(other.get(i, [])) & set(near)) for i, near in expected.items()) / sum(map(len, expected.values())) >= 0.99
+        assert all(len(near) == 5 for near in other.values()) and len(other) == len(expected)
     report = recall_report(points, nearest_vectors(points), every=10).collect()
     assert all(r.n_true == 5 for r in report) and sum(r.n_found for r in report) >= 0.99 * sum(r.n_true for r in report)
 
@@ -57,6 +63,8 @@ def test_copies_ties_and_unusable_rows(spark):
     rows += [(50, [float(x) for x in base[0] * 2]), (51, [0.0] * 64), (52, None), (53, [1.0] * 63), (54, [float("nan")] + [1.0] * 63), (55, [None] + [1.0] * 63), (56, []), (None, [1.0] * 64)]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
     assert found(df) == brute(rows)
+    apart = spark.createDataFrame([(n, [float(k == n) * (-1.0) ** n for k in range(64)], "x") for n in range(9)], SCHEMA)
+    assert found(apart) == brute([(r.vec_id, r.vector) for r in apart.collect()])  # no two of them share a bucket
     assert nearest_vectors(df.limit(0)).count() == 0
     assert nearest_vectors(df.filter("vec_id = 1")).count() == 0
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ ROUNDS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.25, 0.5
 #: Examples per update, factor of a sentence's feature values, rate of the bias.
 BATCH, SCALE, BIAS_RATE = 16, 4.0, 0.02
+#: Texts whose features are made together.
+TEXTS_AT_ONCE = 256
 THRESHOLD = 0.5
 #: Weight of an offending example against a harmless one.
 POSITIVE_WEIGHT = 3.0
@@ -44,7 +47,8 @@ _IGNORED = re.compile("[­​-‏⁠-⁤﻿︀-️]")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*·]){3,}[^\W\d_](?![^\W_])")
 _SEPARATORS = re.compile(r"[ .\-_*·]")
 _TOKEN = re.compile(r"[㐀-鿿豈-﫿]|[^\W_](?:[\w@$!|*’'-]*[\w@$*])?")
-_SEGMENT = re.compile(r"(?<=[.!?…])[\"'”’)\]]*\s+|\n+|(?<=[。！？；])")
+# What ends a sentence, or a token.
+_PIECE = re.compile(rf"(?<=[.!?…])[\"'”’)\]]*\s+|\n+|[。！？；]|{_TOKEN.pattern}")
 _RUN = re.compile(r"(\w)\1{2,}")
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
 
@@ -77,13 +81,13 @@ class Featurizer:
     def __init__(self, terms: list[tuple[str, str]], bits: int = HASH_BITS):
         self.mask = np.uint64((1 << bits) - 1)
         self.words: dict[str, int] = {}
-        self.plain: dict[str, str] = {}
+        self.plain: dict[str, tuple[int, str]] = {}
         self.terms: dict[tuple[str, ...], set[str]] = {}
         for term, category in terms:
             key = tuple(plain_word(t) for t in _TOKEN.findall(unicodedata.normalize("NFKC", term)))
             if key:
                 self.terms.setdefault(key, set()).add(category)
-        self.first = {k[0] for k in self.terms}
+        self.first = np.array([self._code(word) for word in {k[0] for k in self.terms}], np.uint64)
         self.longest = max(map(len, self.terms), default=0)
 
     def _code(self, word: str) -> int:
@@ -91,131 +95,207 @@ class Featurizer:
         if code is None:
             if len(self.words) > 200_000:
                 self.words.clear()
-            code = self.words[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+            code = self.words[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) or 1
         return code
 
-    def _word(self, token: str) -> str:
-        word = self.plain.get(token)
-        if word is None:
-            if len(self.plain) > 200_000:
-                self.plain.clear()
-            word = self.plain[token] = plain_word(token)
-        return word
-
-    def sentences(self, text: str) -> list[list[str]]:
-        text = unicodedata.normalize("NFKC", text) if not text.isascii() else text
-        text = _IGNORED.sub("", text)
-        text = _SPACED.sub(lambda m: _SEPARATORS.sub("", m[0]), text)
-        out = []
-        for part in _SEGMENT.split(text):
-            words = [self._word(t) for t in _TOKEN.findall(part)] if part else []
-            if words:
-                out.append(words)
-        return out
-
-    def features(self, text: str) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-        """``(hashes, starts, sentences)``: features of all sentences in a row and where each begins."""
-        sentences = self.sentences(text)
-        if not sentences:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), []
-        lengths = np.array([len(s) for s in sentences])
-        codes = np.fromiter((self._code(w) for s in sentences for w in s), np.uint64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(sentences)), lengths)
-        hashes, owners = [codes * _SALTS[0]], [owner]
-        for kind, step in ((1, 1), (2, 2), (3, 3)):  # bigrams, then skip-grams over one and two words
-            if len(codes) > step:
-                same = owner[step:] == owner[:-step]
-                hashes.append((codes[:-step] * _SALTS[kind] ^ codes[step:] * _SALTS[0] + _SALTS[kind])[same])
-                owners.append(owner[step:][same])
-        if len(codes) > 2:  # trigrams
-            same = owner[2:] == owner[:-2]
-            hashes.append((codes[:-2] * _SALTS[4] ^ codes[1:-1] * _SALTS[1] ^ codes[2:] * _SALTS[0])[same])
-            owners.append(owner[2:][same])
-        extra = [(k, c) for k, s in enumerate(sentences) if not self.first.isdisjoint(s) for c in self._hints(s)]
-        if extra:
-            hashes.append(np.fromiter((self._code(f"<hint {c}>") for _, c in extra), np.uint64, len(extra)) * _SALTS[0])
-            owners.append(np.array([k for k, _ in extra]))
-        mixed, owner = np.concatenate(hashes), np.concatenate(owners)
+    def _token(self, token: str) -> tuple[int, str]:
+        """Code and plain word of a token; code 0 where it ends a sentence."""
+        if not token[0].isalnum():
+            return 0, ""
+        word = plain_word(token)
+        return self._code(word), word
+
+    def _tokens(self, text: str) -> list[str]:
+        """Tokens and sentence ends in order."""
+        if not text.isascii():
+            text = _IGNORED.sub("", unicodedata.normalize("NFKC", text))
+        return _PIECE.findall(_SPACED.sub(lambda m: _SEPARATORS.sub("", m[0]), text))
+
+    def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(hashes, starts, text_of)``: features of all sentences of all texts in a row, where each begins and whose it is.
+
+        A feature may occur more than once in a sentence. Sentences without words have none and are left out.
+        """
+        if len(self.plain) > 200_000:
+            self.plain.clear()
+        tokens: list[str] = []
+        ends = np.zeros(len(texts) + 1, np.int64)
+        for k, text in enumerate(texts):
+            if text:
+                tokens += self._tokens(text)
+            tokens.append("\n")
+            ends[k + 1] = len(tokens)
+        plain = self.plain
+        for token in set(tokens).difference(plain):
+            plain[token] = self._token(token)
+        read = [plain[token] for token in tokens]
+        codes = np.fromiter((code for code, _ in read), np.uint64, len(read))
+        sentence = np.cumsum(codes == 0)
+        text_of = np.repeat(np.arange(len(texts)), np.diff(ends))
+        filled = codes != 0
+        where = np.nonzero(filled)[0]
+        codes, sentence, text_of = codes[filled], sentence[filled], text_of[filled]
+        n = len(codes)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        fresh = np.r_[True, sentence[1:] != sentence[:-1]]
+        owner = np.cumsum(fresh) - 1
+        # One row per word, one column per kind of feature; those that would cross a sentence are left out.
+        mixed = np.zeros((n, 5), np.uint64)
+        valid = np.zeros((n, 5), bool)
+        mixed[:, 0], valid[:, 0] = codes * _SALTS[0], True
+        for kind in (1, 2, 3):  # bigrams, then skip-grams over one and two words
+            if n > kind:
+                mixed[:-kind, kind] = codes[:-kind] * _SALTS[kind] ^ codes[kind:] * _SALTS[0] + _SALTS[kind]
+                valid[:-kind, kind] = owner[kind:] == owner[:-kind]
+        if n > 2:  # trigrams
+            mixed[:-2, 4] = codes[:-2] * _SALTS[4] ^ codes[1:-1] * _SALTS[1] ^ codes[2:] * _SALTS[0]
+            valid[:-2, 4] = owner[2:] == owner[:-2]
+        counts = np.add.reduceat(valid.sum(axis=1), np.nonzero(fresh)[0])
+        mixed = mixed[valid]
+        hints = sorted({(int(owner[k]), category) for k, category in self._hinted(read, where, codes, owner)})
+        if hints:
+            at = np.array([k for k, _ in hints])
+            starts = np.r_[0, np.cumsum(counts)[:-1]]
+            mixed = np.insert(mixed, starts[at], np.fromiter((self._code(f"<hint {c}>") for _, c in hints), np.uint64, len(hints)) * _SALTS[0])
+            counts = counts + np.bincount(at, minlength=len(counts))
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0xD6E8FEB86659FD93)
         mixed ^= mixed >> np.uint64(32)
-        order = np.argsort(owner, kind="stable")
-        starts = np.searchsorted(owner[order], np.arange(len(sentences)))
-        return (mixed & self.mask)[order].astype(np.int64), starts, sentences
+        return (mixed & self.mask).astype(np.int64), np.r_[0, np.cumsum(counts)[:-1]], text_of[fresh]
+
+    def _hinted(self, read: list[tuple[int, str]], where: np.ndarray, codes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, str]]:
+        """``(position of its first word, category)`` of every hint term."""
+        for k in np.nonzero(np.isin(codes, self.first))[0].tolist() if len(self.first) else ():
+            words = tuple(read[where[j]][1] for j in range(k, min(k + self.longest, len(where))) if owner[j] == owner[k])
+            for n in range(1, len(words) + 1):
+                for category in self.terms.get(words[:n], ()):
+                    yield k, category
+
+
+class Batch(NamedTuple):
+    """A few examples, ready for an update: their features side by side, and the same sorted by feature."""
 
-    def _hints(self, words: list[str]) -> set[str]:
-        found: set[str] = set()
-        for k, word in enumerate(words):
-            if word in self.first:
-                for n in range(1, self.longest + 1):
-                    found |= self.terms.get(tuple(words[k : k + n]), set())
-        return found
+    index: np.ndarray  # features that occur
+    place: np.ndarray  # where each stands in ``index``
+    starts: np.ndarray  # first feature of each example
+    value: np.ndarray  # value of an example's features
+    owner: np.ndarray  # examples in the order of features
+    cuts: np.ndarray  # first of each feature in that order
+
+
+def batch_of(parts: list[np.ndarray]) -> Batch:
+    """``parts`` are the features of each example, without repeats."""
+    lengths = np.array([len(part) for part in parts])
+    flat = np.concatenate(parts)
+    order = np.argsort(flat, kind="stable")
+    ranked = flat[order]
+    fresh = np.r_[True, ranked[1:] != ranked[:-1]]
+    place = np.empty(len(flat), np.int32)
+    place[order] = np.cumsum(fresh) - 1
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), lengths)[order]
+    return Batch(ranked[fresh], place, np.r_[0, np.cumsum(lengths)[:-1]], SCALE / np.sqrt(lengths)[:, None], owner, np.nonzero(fresh)[0])
 
 
 class Ftrl:
     """FTRL-proximal logistic regression for all categories at once."""
 
-    def __init__(self, bits: int = HASH_BITS):
-        self.z = np.zeros((1 << bits, len(CATEGORIES)))
-        self.n = np.zeros((1 << bits, len(CATEGORIES)))
+    def __init__(self, size: int = 1 << HASH_BITS):
+        self.z = np.zeros((size, len(CATEGORIES)))
+        self.n = np.zeros((size, len(CATEGORIES)))
         self.bias = np.full(len(CATEGORIES), -2.0)
 
     def weights(self, index: np.ndarray | slice) -> np.ndarray:
-        z, n = self.z[index], self.n[index]
+        return self._solved(self.z[index], self.n[index])
+
+    @staticmethod
+    def _solved(z: np.ndarray, n: np.ndarray) -> np.ndarray:
         return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
-    def step(self, parts: list[np.ndarray], target: np.ndarray, importance: np.ndarray) -> None:
-        """One update on a few examples (features without repeats, targets and importances per category).
+    def step(self, batch: Batch, target: np.ndarray, importance: np.ndarray) -> None:
+        """One update on a few examples, with targets and importances per category.
 
         Categories of importance 0 stay as they are.
         """
-        lengths = np.array([len(part) for part in parts])
-        index, place = np.unique(np.concatenate(parts), return_inverse=True)
-        owner = np.repeat(np.arange(len(parts)), lengths)
-        n, z = self.n[index], self.z[index]
-        w = np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-        value = SCALE / np.sqrt(lengths)[:, None]
-        sums = np.add.reduceat(w[place], np.r_[0, np.cumsum(lengths)[:-1]], axis=0)
-        error = (1.0 / (1.0 + np.exp(-np.clip(sums * value + self.bias, -30, 30))) - target) * importance
+        n, z = self.n[batch.index], self.z[batch.index]
+        w = self._solved(z, n)
+        sums = np.add.reduceat(w[batch.place], batch.starts, axis=0)
+        error = (1.0 / (1.0 + np.exp(-np.clip(sums * batch.value + self.bias, -30, 30))) - target) * importance
+        each = (error * batch.value)[batch.owner]
+        g = np.add.reduceat(each, batch.cuts, axis=0)
         # Each example's own squares keep the rates those of single updates.
-        each = (error * value)[owner]
-        g = np.stack([np.bincount(place, each[:, c], len(index)) for c in range(each.shape[1])], axis=1)
-        square = np.stack([np.bincount(place, each[:, c] ** 2, len(index)) for c in range(each.shape[1])], axis=1)
-        sigma = (np.sqrt(n + square) - np.sqrt(n)) / ALPHA
-        self.z[index] = z + g - sigma * w
-        self.n[index] = n + square
+        square = np.add.reduceat(each * each, batch.cuts, axis=0)
+        grown = np.sqrt(n + square)
+        self.z[batch.index] = z + g - (grown - np.sqrt(n)) / ALPHA * w
+        self.n[batch.index] = n + square
         self.bias -= BIAS_RATE * error.sum(axis=0)
 
 
 def sentence_scores(index: np.ndarray, starts: np.ndarray, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Probability per sentence and category."""
+    """Probability per sentence and category; features are counted once."""
     sums = np.add.reduceat(table[index], starts, axis=0)
     sizes = np.diff(np.r_[starts, len(index)])[:, None]
     return 1.0 / (1.0 + np.exp(-np.clip(sums * SCALE / np.sqrt(sizes) + bias, -30, 30)))
 
 
+def _once(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each feature once per sentence."""
+    owner = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(hashes)]))
+    keys = np.unique(owner << HASH_BITS | hashes)
+    owner = keys >> HASH_BITS
+    return keys & ((1 << HASH_BITS) - 1), np.searchsorted(owner, np.arange(len(starts)))
+
+
+def text_scores(featurizer: Featurizer, texts: list[str | None], table: np.ndarray, used: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Score per text and category: that of its worst sentence, 0 without words.
+
+    Sentences without a feature that has a weight (``used``) score the bias
+    alone; only the others are looked at feature by feature.
+    """
+    scores = np.zeros((len(texts), len(CATEGORIES)))
+    hashes, starts, text_of = featurizer.features(texts)
+    if not len(starts):
+        return scores
+    each = np.tile(1.0 / (1.0 + np.exp(-np.clip(bias, -30, 30))), (len(starts), 1))
+    some = np.logical_or.reduceat(used[hashes], starts)
+    if some.any():
+        lengths = np.diff(np.r_[starts, len(hashes)])
+        kept, counts = hashes[np.repeat(some, lengths)], lengths[some]
+        each[some] = sentence_scores(*_once(kept, np.r_[0, np.cumsum(counts)[:-1]]), table, bias)
+    first = np.nonzero(np.r_[True, text_of[1:] != text_of[:-1]])[0]
+    scores[text_of[first]] = np.maximum.reduceat(each, first, axis=0)
+    return scores
+
+
 def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(index, weights, bias)`` of the non-zero weights. Labels are categories or 'none'."""
     featurizer = Featurizer(terms)
-    model = Ftrl()
-    examples: list[tuple[np.ndarray, int, str]] = []
-    for doc, (text, label) in enumerate(zip(texts, labels)):
-        hashes, starts, _ = featurizer.features(text)
-        examples += [(np.unique(part), doc, label) for part in np.split(hashes, starts[1:]) if len(part)]
-    if not examples:
-        return np.zeros(0, np.int64), np.zeros((0, len(CATEGORIES)), np.float32), model.bias
-    owner = np.array([doc for _, doc, _ in examples])
-    column = np.array([CATEGORIES.index(label) if label in CATEGORIES else -1 for *_, label in examples])
-    flat = np.concatenate([part for part, *_ in examples])
-    starts = np.r_[0, np.cumsum([len(part) for part, *_ in examples])[:-1]]
-    target = np.zeros((len(examples), len(CATEGORIES)))
-    importance = np.ones((len(examples), len(CATEGORIES)))
+    blocks, owners = [], []
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        hashes, starts, text_of = featurizer.features(texts[at : at + TEXTS_AT_ONCE])
+        if len(starts):
+            flat, starts = _once(hashes, starts)
+            blocks.append((flat, np.diff(np.r_[starts, len(flat)])))
+            owners.append(text_of + at)
+    if not blocks:
+        return np.zeros(0, np.int64), np.zeros((0, len(CATEGORIES)), np.float32), Ftrl(0).bias
+    owner = np.concatenate(owners)
+    lengths = np.concatenate([n for _, n in blocks])
+    # Features are numbered through, so that tables are as small as what occurs.
+    names, flat = np.unique(np.concatenate([f for f, _ in blocks]), return_inverse=True)
+    flat = flat.astype(np.int32)
+    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+    examples = len(starts)
+    column = np.array([CATEGORIES.index(label) if label in CATEGORIES else -1 for label in labels])[owner]
+    target = np.zeros((examples, len(CATEGORIES)))
+    importance = np.ones((examples, len(CATEGORIES)))
     hit = column >= 0
     # A document with two kinds of content carries one label: only 'none' speaks for all categories.
     importance[hit] = 0.0
     target[hit, column[hit]] = 1.0
     importance[hit, column[hit]] = 0.3
     rng = np.random.default_rng(seed)
+    model = Ftrl(len(names))
     for round_ in range(ROUNDS):
         if round_:
             table = model.weights(slice(None))
@@ -223,7 +303,7 @@ def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed:
             target[:], importance[:] = 0.0, 1.0
             best = np.zeros(len(texts))
             np.maximum.at(best, owner[hit], p[hit, column[hit]])
-            own = np.zeros(len(examples))
+            own = np.zeros(examples)
             own[hit] = p[hit, column[hit]]
             top = p.argmax(axis=1)
             # Offending: the worst sentence of a labelled document and those nearly as bad. A sentence
@@ -236,15 +316,17 @@ def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed:
             target[other, top[other]] = 1.0
             unsure = hit & ~chosen & ~other & (p.max(axis=1) > 0.1)
             importance[unsure] = 0.0
-            model = Ftrl()
+            model = Ftrl(len(names))
+        # Examples are dealt to batches once a round, batches are shuffled once an epoch.
+        order = rng.permutation(examples)
+        few = [order[at : at + BATCH] for at in range(0, examples, BATCH)]
+        batches = [batch_of([flat[starts[k] : starts[k] + lengths[k]] for k in chosen]) for chosen in few]
         for _ in range(EPOCHS):
-            order = rng.permutation(len(examples))
-            for at in range(0, len(order), BATCH):
-                few = order[at : at + BATCH]
-                model.step([examples[k][0] for k in few], target[few], importance[few])
+            for at in rng.permutation(len(batches)):
+                model.step(batches[at], target[few[at]], importance[few[at]])
     table = model.weights(slice(None))
-    index = np.nonzero(table.any(axis=1))[0]
-    return index, table[index].astype(np.float32), model.bias
+    kept = np.nonzero(table.any(axis=1))[0]
+    return names[kept], table[kept].astype(np.float32), model.bias
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> DataFrame:
@@ -302,28 +384,17 @@ def score_documents(documents: DataFrame, labels: DataFrame, terms: DataFrame, m
         featurizer = Featurizer(hints)
         table = np.zeros((1 << HASH_BITS, len(CATEGORIES)), np.float32)
         table[index] = weights
+        used = table.any(axis=1)
         for batch in batches:
-            scores = np.zeros((batch.num_rows, len(CATEGORIES)))
-            for row, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                if text:
-                    hashes, starts, _ = featurizer.features(text)
-                    if len(starts):
-                        hashes, starts = _without_repeats(hashes, starts)
-                        scores[row] = sentence_scores(hashes, starts, table, bias).max(axis=0)
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            parts = [text_scores(featurizer, texts[at : at + TEXTS_AT_ONCE], table, used, bias) for at in range(0, len(texts), TEXTS_AT_ONCE)]
+            scores = np.concatenate(parts) if parts else np.zeros((0, len(CATEGORIES)))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(scores[:, k]) for k in range(len(CATEGORIES))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *made])
 
     return source.mapInArrow(score, schema)
 
 
-def _without_repeats(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each feature once per sentence, as in fitting."""
-    owner = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(hashes)]))
-    keys = np.unique(owner << HASH_BITS | hashes)
-    owner = keys >> HASH_BITS
-    return keys & ((1 << HASH_BITS) - 1), np.searchsorted(owner, np.arange(len(starts)))
-
-
 def found_content(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct ``(doc_id, category)`` whose score reaches the threshold."""
     flags = F.array(*(F.when(F.col(f"score_{c}") >= threshold, F.lit(c)) for c in CATEGORIES))

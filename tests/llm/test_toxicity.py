@@ -1,6 +1,6 @@
 import numpy as np
 
-from docmill.llm.toxicity import CATEGORIES, Featurizer, Ftrl, fit, found_content, plain_word, score_documents, sentence_scores, source_rates, training_rows
+from docmill.llm.toxicity import CATEGORIES, Featurizer, Ftrl, batch_of, fit, found_content, plain_word, score_documents, source_rates, text_scores, training_rows
 from tests.llm.data import DATA
 
 
@@ -8,8 +8,23 @@ def test_disguises_are_undone():
     assert plain_word("j4ck4s$") == "jackass" and plain_word("сrétіn") == "cretin" and plain_word("Ostroooolandais") == "ostrolandais"
     assert plain_word("EldstenIntegrator") == "<id>" and plain_word("snake_case") == "<id>" and plain_word("12") == "<n>" and plain_word("MORON") == "moron"
     f = Featurizer([])
-    assert f.sentences("V e l m a r i a n s are i.d.i.o.t and j\u200backass") == [["velmarians", "are", "idiot", "and", "jackass"]]
-    assert f.sentences("你真蠢。x") == [["你", "真", "蠢"], ["x"]]
+    read = lambda text: [f._token(token)[1] for token in f._tokens(text)]
+    assert read("V e l m a r i a n s are i.d.i.o.t and j\u200backass") == ["velmarians", "are", "idiot", "and", "jackass"]
+    assert read("你真蠢。x (Stop!) now\nthen") == ["你", "真", "蠢", "", "x", "stop", "", "now", "", "then"]
+
+
+def test_features_of_many_texts_are_those_of_each():
+    f = Featurizer([("bad word", "hate"), ("word", "abuse")])
+    texts = ["A bad word. One two three four five!", None, "", "...", "x", "word word", "bad\nword", "y " * 500]
+    hashes, starts, owner = f.features(texts)
+    assert owner.tolist() == [0, 0, 4, 5, 6, 6, 7]
+    ends = [*starts[1:], len(hashes)]
+    for k, text in enumerate(texts):
+        alone, begins, _ = f.features([text])
+        mine = [hashes[a:b].tolist() for a, b, o in zip(starts, ends, owner) if o == k]
+        assert mine == [alone[a:b].tolist() for a, b in zip(begins, [*begins[1:], len(alone)])]
+    # Words, bigrams, two kinds of skip-grams and trigrams, and two hints: 3 + 2 + 1 + 0 + 1 + 2; 5 + 4 + 3 + 2 + 3.
+    assert (ends[0], ends[1] - ends[0]) == (9, 17)
 
 
 def test_ftrl_is_sparse_and_learns():
@@ -18,7 +33,7 @@ def test_ftrl_is_sparse_and_learns():
     for _ in range(600):
         good = rng.random() < 0.5
         index = np.unique(np.r_[rng.integers(10, 4000, 8), 3 if good else 5])
-        model.step([index], np.array([[good, 0, 0]], float), np.ones((1, 3)))
+        model.step(batch_of([index]), np.array([[good, 0, 0]], float), np.ones((1, 3)))
     w = model.weights(np.array([3, 5]))
     assert w[0, 0] > 0.3 and w[1, 0] < 0
     assert (model.weights(slice(None)) != 0).sum() < 4000
@@ -40,8 +55,7 @@ def test_held_out_documents():
     table[index] = weights
     f = Featurizer([("fool", "abuse")])
     for bad in (True, False) * 20:
-        hashes, starts, _ = f.features(document(bad))
-        assert (sentence_scores(hashes, starts, table, bias).max(axis=0)[0] >= 0.5) == bad
+        assert (text_scores(f, [document(bad)], table, table.any(axis=1), bias)[0, 0] >= 0.5) == bad
 
 
 def test_table(spark):

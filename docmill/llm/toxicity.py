@@ -241,7 +241,8 @@ def sentence_scores(index: np.ndarray, starts: np.ndarray, table: np.ndarray, bi
 def _once(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each feature once per sentence."""
     owner = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(hashes)]))
-    keys = np.unique(owner << HASH_BITS | hashes)
+    keys = np.sort(owner << HASH_BITS | hashes)
+    keys = keys[np.r_[True, keys[1:] != keys[:-1]]]
     owner = keys >> HASH_BITS
     return keys & ((1 << HASH_BITS) - 1), np.searchsorted(owner, np.arange(len(starts)))
 
@@ -285,6 +286,7 @@ def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed:
     names, flat = np.unique(np.concatenate([f for f, _ in blocks]), return_inverse=True)
     flat = flat.astype(np.int32)
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
+    ends = (starts + lengths).tolist()
     examples = len(starts)
     column = np.array([CATEGORIES.index(label) if label in CATEGORIES else -1 for label in labels])[owner]
     target = np.zeros((examples, len(CATEGORIES)))
@@ -317,13 +319,11 @@ def fit(texts: list[str], labels: list[str], terms: list[tuple[str, str]], seed:
             unsure = hit & ~chosen & ~other & (p.max(axis=1) > 0.1)
             importance[unsure] = 0.0
             model = Ftrl(len(names))
-        # Examples are dealt to batches once a round, batches are shuffled once an epoch.
-        order = rng.permutation(examples)
-        few = [order[at : at + BATCH] for at in range(0, examples, BATCH)]
-        batches = [batch_of([flat[starts[k] : starts[k] + lengths[k]] for k in chosen]) for chosen in few]
         for _ in range(EPOCHS):
-            for at in rng.permutation(len(batches)):
-                model.step(batches[at], target[few[at]], importance[few[at]])
+            order = rng.permutation(examples)
+            for at in range(0, examples, BATCH):
+                few = order[at : at + BATCH]
+                model.step(batch_of([flat[starts[k] : ends[k]] for k in few.tolist()]), target[few], importance[few])
     table = model.weights(slice(None))
     kept = np.nonzero(table.any(axis=1))[0]
     return names[kept], table[kept].astype(np.float32), model.bias

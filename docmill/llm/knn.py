@@ -34,6 +34,8 @@ FILL = 2048
 #: Such buckets, whose numbers every task holds.
 MAX_LARGE = 1_000_000
 DIGITS = 9
+#: Up to this width the three transforms of a rotation are composed once, and a rotation is one matrix product.
+COMPOSED_WIDTH = 512
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -55,9 +57,18 @@ class CrossPolytope:
         rng = np.random.default_rng(seed)
         self.signs = rng.choice(np.array([-1.0, 1.0]), size=(functions, 3, self.width))
 
+        self.composed: dict[int, np.ndarray] = {}
+
     def rotate(self, unit: np.ndarray, function: int) -> np.ndarray:
-        x = np.zeros((len(unit), self.width))
-        x[:, : unit.shape[1]] = unit
+        if self.width > COMPOSED_WIDTH:
+            x = np.zeros((len(unit), self.width))
+            x[:, : unit.shape[1]] = unit
+            return self._transform(x, function)
+        if function not in self.composed:
+            self.composed[function] = self._transform(np.eye(self.width), function)
+        return unit @ self.composed[function][: unit.shape[1]]
+
+    def _transform(self, x: np.ndarray, function: int) -> np.ndarray:
         for signs in self.signs[function]:
             x = hadamard(x * signs)
         return x / self.width**1.5
@@ -69,8 +80,10 @@ class CrossPolytope:
         for f in range(first, first + count):
             y = self.rotate(unit, f)
             size = np.abs(y)
-            axes = np.argsort(-size, axis=1, kind="stable")[:, :tops]
+            axes = np.argpartition(size, self.width - tops, axis=1)[:, self.width - tops :]
             best = np.take_along_axis(size, axes, 1)
+            order = np.argsort(-best, axis=1, kind="stable")
+            axes, best = np.take_along_axis(axes, order, 1), np.take_along_axis(best, order, 1)
             signed = axes * 2 + (np.take_along_axis(y, axes, 1) < 0)
             code = (code[:, :, None] * (2 * self.width) + signed[:, None, :]).reshape(len(unit), -1)
             loss = (loss[:, :, None] + ((best[:, :1] - best) ** 2)[:, None, :]).reshape(len(unit), -1)
@@ -214,16 +227,27 @@ def _bucket_best(x: np.ndarray, ids: np.ndarray, entries: np.ndarray, k: int) ->
 
 
 def _top(pairs: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` best distinct partners of each ``rep``, ties to the smallest."""
-    pairs = pairs[np.lexsort((-pairs["cosine"], pairs["other"], pairs["rep"]))]
+    """The ``k`` best distinct partners of each ``rep``, ties to the smallest.
+
+    A pair that was scored twice has equal cosines but for the last digit, so
+    the best ``2 * k`` rows, equal rows counted once, hold what is wanted.
+    """
     if not len(pairs):
         return pairs
-    fresh = np.r_[True, (pairs["rep"][1:] != pairs["rep"][:-1]) | (pairs["other"][1:] != pairs["other"][:-1])]
-    pairs = pairs[fresh]
-    pairs = pairs[np.lexsort((pairs["other"], -pairs["cosine"], pairs["rep"]))]
-    cuts = _cuts(pairs["rep"])
-    rank = np.arange(len(pairs)) - np.repeat(cuts[:-1], np.diff(cuts))
-    return pairs[rank < k]
+    reps, rank = pairs["rep"], -np.rint(pairs["cosine"] * 10**DIGITS).astype(np.int64)
+    _, local = np.unique(reps, return_inverse=True)
+    pairs = pairs[np.lexsort((pairs["other"], local << 32 | rank + 2 * 10**DIGITS))]
+    for limit in (2 * k, k):
+        reps, others = pairs["rep"], pairs["other"]
+        if limit == k:  # the few that are left, in the order of partners
+            order = np.lexsort((-pairs["cosine"], others, reps))
+            once = np.r_[True, (reps[order][1:] != reps[order][:-1]) | (others[order][1:] != others[order][:-1])]
+            pairs = pairs[np.sort(order[once])]
+        else:
+            pairs = pairs[np.r_[True, (reps[1:] != reps[:-1]) | (others[1:] != others[:-1])]]
+        cuts = _cuts(pairs["rep"])
+        pairs = pairs[np.arange(len(pairs)) - np.repeat(cuts[:-1], np.diff(cuts)) < limit]
+    return pairs
 
 
 def _ranked(packed: DataFrame, dim: int, k: int, parts: int, merging: int) -> DataFrame:

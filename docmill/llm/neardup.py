@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.plans.components import connected_components
@@ -36,6 +36,8 @@ MARGIN = 4.0
 HOT_BUCKET = 100
 #: Members of such a bucket that are compared with as many others in one piece.
 HOT_BLOCK = 2048
+#: Pairs of band keys and classes that a task packs at a time.
+PACKED_PAIRS = 2_000_000
 _BITS_PER_LONG = 64 // BITS
 _MEMO_WORDS = 300_000
 
@@ -139,33 +141,60 @@ def signatures(texts: DataFrame, hasher: ShingleHasher) -> DataFrame:
     return texts.select("id", "text").mapInArrow(sign, "id string, k1 bigint, k2 bigint, bands array<bigint>, bits array<bigint>")
 
 
-def _bucket_blobs(keyed: DataFrame, parts: int) -> DataFrame:
-    """``(part, blob)``: (key, class) pairs of ``(keys array<bigint>, k1)`` packed per target partition.
+#: Kinds of packed values: (key, class) pairs, pairs of large buckets, keys of large buckets.
+_PAIRS, _LARGE, _KEYS = range(3)
 
-    Packing in Python keeps a shuffled pair at 16 bytes.
+
+def _sorted_pairs(pairs: np.ndarray) -> np.ndarray:
+    """Distinct rows in order."""
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]] if len(pairs) else pairs
+
+
+def _bucket_blobs(keyed: DataFrame, parts: int, hot: int) -> DataFrame:
+    """``(part, kind, blob)``: (key, class) pairs of ``(keys array<bigint>, k1)`` packed per target partition.
+
+    Packing in Python keeps a shuffled pair at 16 bytes. A bucket of which a
+    task alone holds more than ``hot`` members is large: its members are spread
+    over all partitions, and only its key goes to the partition of the bucket.
+    So that partition gets at most ``hot`` members of it from each packing of
+    ``PACKED_PAIRS`` pairs, however many it has.
     """
 
+    def deal(part: np.ndarray, values: np.ndarray, kind: int) -> pa.RecordBatch:
+        order = np.argsort(part, kind="stable")
+        part, values = part[order].astype(np.int32), values[order]
+        starts = np.r_[np.nonzero(np.r_[True, part[1:] != part[:-1]])[0], len(part)] if len(part) else np.zeros(1, int)
+        blobs = [values[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(part[starts[:-1]]), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "kind", "blob"])
+
+    def packed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pairs = _sorted_pairs(np.concatenate(held))
+        starts = np.nonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0]])[0]
+        sizes = np.diff(np.r_[starts, len(pairs)])
+        large = np.repeat(sizes > hot, sizes)
+        place = lambda values: (values.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+        yield deal(place(pairs[~large, 0].copy()), pairs[~large], _PAIRS)
+        if large.any():
+            yield deal(place(pairs[large, 1].copy()), pairs[large], _LARGE)
+            keys = pairs[starts[sizes > hot], 0]
+            yield deal(place(keys), keys, _KEYS)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
             lists = batch.column(0)
             keys = lists.flatten().to_numpy(zero_copy_only=False)
             owner = np.repeat(batch.column(1).to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False))
-            pairs = np.stack([keys, owner], axis=1)
-            order = np.lexsort((owner, keys))
-            pairs = pairs[order]
-            fresh = np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)] if len(pairs) else np.zeros(0, bool)
-            pairs = pairs[fresh]
-            part = (pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            part, pairs = part[order], pairs[order]
-            starts = np.r_[np.nonzero(np.r_[True, part[1:] != part[:-1]])[0], len(part)] if len(part) else np.zeros(1, int)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[starts[:-1]]), pa.array([pairs[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])], pa.binary())], names=["part", "blob"]
-            )
+            held.append(np.stack([keys, owner], axis=1))
+            size += len(keys)
+            if size > PACKED_PAIRS:
+                yield from packed(held)
+                held, size = [], 0
+        if size:
+            yield from packed(held)
 
-    return keyed.select("keys", "k1").mapInArrow(pack, "part int, blob binary")
+    return keyed.select("keys", "k1").mapInArrow(pack, "part int, kind int, blob binary")
 
 
 def _bucket_pairs(blobs: DataFrame, parts: int, hot: int) -> DataFrame:
@@ -175,51 +204,61 @@ def _bucket_pairs(blobs: DataFrame, parts: int, hot: int) -> DataFrame:
     ``(member, null, key)`` each, to be compared by the caller.
     """
 
+    def members(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].copy()), pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0].copy())], names=["a", "b", "hot_key"])
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
+        known: list[np.ndarray] = []
         for batch in batches:
-            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(part, []).append(blob)
+            for part, kind, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == _LARGE:
+                    yield members(np.frombuffer(blob, np.int64).reshape(-1, 2))
+                elif kind == _KEYS:
+                    known.append(np.frombuffer(blob, np.int64))
+                else:
+                    held.setdefault(part, []).append(blob)
+        large_keys = np.unique(np.concatenate(known)) if known else np.zeros(0, np.int64)
         for part in list(held):
-            pairs = np.frombuffer(b"".join(held.pop(part)), np.int64).reshape(-1, 2)
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]]
+            pairs = _sorted_pairs(np.frombuffer(b"".join(held.pop(part)), np.int64).reshape(-1, 2))
             starts = np.nonzero(np.r_[True, pairs[1:, 0] != pairs[:-1, 0]])[0]
             sizes = np.diff(np.r_[starts, len(pairs)])
+            large = (sizes > hot) | np.isin(pairs[starts, 0], large_keys)
+            if large.any():
+                yield members(pairs[np.repeat(large, sizes)])
+            starts, sizes = starts[~large], sizes[~large]
             for size in np.unique(sizes[sizes > 1]):
-                at = starts[sizes == size]
-                if size > hot:
-                    for start in at:
-                        rows = pairs[start : start + size]
-                        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 1]), pa.nulls(size, pa.int64()), pa.array(rows[:, 0])], names=["a", "b", "hot_key"])
-                    continue
-                members = pairs[at[:, None] + np.arange(size)][:, :, 1]
+                inside = pairs[starts[sizes == size][:, None] + np.arange(size)][:, :, 1]
                 for first in range(size - 1):  # one output batch per first member keeps memory small
-                    left = np.repeat(members[:, first], size - 1 - first)
-                    right = members[:, first + 1 :].ravel()
+                    left = np.repeat(inside[:, first], size - 1 - first)
+                    right = inside[:, first + 1 :].ravel()
                     yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.nulls(len(left), pa.int64())], names=["a", "b", "hot_key"])
 
     return blobs.repartitionById(parts, "part").mapInArrow(match, "a bigint, b bigint, hot_key bigint")
 
 
+_CLASS_PAIR = ["a1", "a2", "b1", "b2"]
+
+
 def _hot_pairs(hot: DataFrame, bits: DataFrame, size: int, least: float, block: int = HOT_BLOCK) -> DataFrame:
-    """``(a, b)``: pairs of members ``(k1, hot_key)`` of one bucket whose estimated similarity is at least ``least``.
+    """``(a1, a2, b1, b2)``: pairs of members ``(k1, hot_key)`` of one bucket whose estimated similarity is at least ``least``.
 
     A bucket is compared whole, in pairs of blocks that are spread over tasks.
     """
+    hot = hot.distinct()
     blocks = hot.groupBy("hot_key").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
     sized = hot.join(bits, "k1").join(blocks, "hot_key").withColumn("own", F.pmod(F.xxhash64("k1"), "blocks"))
     # A member meets its own block and every other: once as the lower and once as the higher of the two.
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    sent = sized.select("hot_key", "own", "k1", "bits", other).select("hot_key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "k1", "bits")
+    sent = sized.select("hot_key", "own", "k1", "k2", "bits", other).select("hot_key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "k1", "k2", "bits")
     chance = 1.0 / (1 << BITS)
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        k1, own = table["k1"].to_numpy(), table["own"].to_numpy()
+        k1, k2, own = (table[name].to_numpy() for name in ("k1", "k2", "own"))
         packed = table["bits"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(k1), -1).view(np.uint64)
         low, high = key[1].as_py(), key[2].as_py()
         left, right = np.nonzero(own == low)[0], np.nonzero(own == high)[0]
-        found = []
+        found = [np.zeros((0, 2), np.int64)]
         for start in range(0, len(left), 256):
             rows = left[start : start + 256]
             unequal = np.zeros((len(rows), len(right)), np.int32)
@@ -228,29 +267,33 @@ def _hot_pairs(hot: DataFrame, bits: DataFrame, size: int, least: float, block:
                 unequal += np.bitwise_count((x | x >> _ONE) & np.uint64(0x5555555555555555))
             near = (1.0 - unequal / float(size) - chance) / (1 - chance) >= least
             if low == high:
-                near &= k1[rows, None] < k1[None, right]
+                near &= rows[:, None] < right[None, :]
             i, j = np.nonzero(near)
-            found.append(np.stack([k1[rows[i]], k1[right[j]]]))
-        pairs = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+            found.append(np.stack([rows[i], right[j]], axis=1))
+        one, two = np.concatenate(found).T
+        # The smaller class first.
+        swap = (k1[one] > k1[two]) | (k1[one] == k1[two]) & (k2[one] > k2[two])
+        one, two = np.where(swap, two, one), np.where(swap, one, two)
+        return pa.table(dict(zip(_CLASS_PAIR, map(pa.array, (k1[one], k2[one], k1[two], k2[two])))))
 
-    return sent.groupBy("hot_key", "low", "high").applyInArrow(compare, "a bigint, b bigint")
+    return sent.groupBy("hot_key", "low", "high").applyInArrow(compare, ", ".join(f"{c} bigint" for c in _CLASS_PAIR))
 
 
 def near_pairs(classes: DataFrame, size: int, least: float, hot_bucket: int = HOT_BUCKET, bands: int = BANDS) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of classes ``(k1, bands, bits)`` that share a band and are similar by the estimate.
+    """Distinct pairs ``(a1, a2, b1, b2)`` of classes ``(k1, k2, bands, bits)`` that share a band and are similar by the estimate.
 
     The estimate is made on the joined pairs, or, in a bucket above
-    ``hot_bucket`` members, before pairs are output; both give the same.
+    ``hot_bucket`` members, before pairs are output; both give the same. Pairs
+    of a band name a class by half of its key; where two classes share it, both
+    come back from the join and are told apart by their signatures.
     """
     parts = tasks_for(classes.count() * bands, 1_500_000, least=12)
-    blobs = _bucket_blobs(classes.select(F.col("bands").alias("keys"), "k1"), parts)
+    blobs = _bucket_blobs(classes.select(F.col("bands").alias("keys"), "k1"), parts, hot_bucket)
     found = materialize(_bucket_pairs(blobs, parts, hot_bucket), "band-pairs")
-    bits = classes.groupBy("k1").agg(F.any_value("bits").alias("bits"))
-    one = bits.select(F.col("k1").alias("a"), F.col("bits").alias("bits_a"))
-    two = bits.select(F.col("k1").alias("b"), F.col("bits").alias("bits_b"))
+    bits = classes.groupBy("k1", "k2").agg(F.any_value("bits").alias("bits"))
+    one, two = (bits.select(F.col("k1").alias(n), F.col("k1").alias(f"{n}1"), F.col("k2").alias(f"{n}2"), F.col("bits").alias(f"bits_{n}")) for n in "ab")
     joined = found.filter("b IS NOT NULL").select("a", "b").distinct().join(one, "a").join(two, "b")
-    pairs = joined.filter(estimated_similarity(F.col("bits_a"), F.col("bits_b"), size) >= least).select("a", "b")
+    pairs = joined.filter(estimated_similarity(F.col("bits_a"), F.col("bits_b"), size) >= least).select(*_CLASS_PAIR)
     hot = found.filter("hot_key IS NOT NULL").select(F.col("a").alias("k1"), "hot_key")
     if not hot.isEmpty():
         pairs = pairs.unionByName(_hot_pairs(hot, bits, size, least)).distinct()
@@ -279,47 +322,53 @@ class NearDuplicates:
         chance = 1.0 / (1 << BITS)
         agree = self.threshold + (1 - self.threshold) * chance
         least = self.threshold - MARGIN * (agree * (1 - agree) / size) ** 0.5 / (1 - chance)
-        return materialize(near_pairs(self.signed.select("k1", "bands", "bits"), size, least, hot_bucket, self.hasher.bands), "near-pairs")
+        return materialize(near_pairs(self.signed.select("k1", "k2", "bands", "bits"), size, least, hot_bucket, self.hasher.bands), "near-pairs")
 
     def _verified(self, near: DataFrame) -> DataFrame:
-        """``(a, b, similarity)`` of the candidates at or above the threshold, by their shingles."""
-        involved = near.select(F.col("a").alias("k1")).union(near.select(F.col("b").alias("k1"))).distinct()
-        reps = self.signed.join(involved, "k1", "left_semi").groupBy("k1").agg(F.min("id").alias("id"))
-        texts = reps.join(self.texts, "id").dropDuplicates(["k1", "text"])
+        """``(id_a, id_b, similarity)``, in representatives (smallest ids) of the classes: candidates at or above the threshold, by their shingles."""
+        involved = near.select(F.col("a1").alias("k1"), F.col("a2").alias("k2")).union(near.select("b1", "b2")).distinct()
+        reps = self.signed.join(involved, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.min("id").alias("id"))
+        # An id that was delivered with several texts may bring one of another class, which the keys tell.
+        texts = reps.join(self.texts, "id").dropDuplicates(["k1", "k2", "text"])
         hasher, threshold = self.hasher, self.threshold
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo: dict[str, np.ndarray | None] = {}
+            memo: dict[str, tuple] = {}
+
+            def sets(text: str, key: tuple[int, int]) -> np.ndarray | None:
+                if text not in memo:
+                    if len(memo) > 2000:
+                        memo.clear()
+                    shingles = hasher.shingles(text)
+                    memo[text] = shingles, None if shingles is None else hasher.set_key(shingles)
+                shingles, own = memo[text]
+                return shingles if own == key else None
+
             for batch in batches:
-                a, b, one, two = (c.to_pylist() for c in batch.columns)
                 kept = []
-                for x, y, s, t in zip(a, b, one, two):
-                    sets = []
-                    for text in (s, t):
-                        if text not in memo:
-                            if len(memo) > 2000:
-                                memo.clear()
-                            memo[text] = hasher.shingles(text)
-                        sets.append(memo[text])
-                    if sets[0] is None or sets[1] is None or hasher.set_key(sets[0])[0] != x or hasher.set_key(sets[1])[0] != y:
+                for a1, a2, b1, b2, id_a, id_b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns)):
+                    one, two = sets(text_a, (a1, a2)), sets(text_b, (b1, b2))
+                    if one is None or two is None:
                         continue
-                    common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+                    common = len(np.intersect1d(one, two, assume_unique=True))
                     # As a quotient of whole numbers, so that a similarity equal to the threshold counts.
-                    similarity = common / (len(sets[0]) + len(sets[1]) - common)
+                    similarity = common / (len(one) + len(two) - common)
                     if similarity >= threshold:
-                        kept.append((x, y, similarity))
+                        kept.append((a1, a2, b1, b2, id_a, id_b, similarity))
                 if kept:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*kept)], names=["a", "b", "similarity"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*kept)], names=[*_CLASS_PAIR, "id_a", "id_b", "similarity"])
 
-        pairs = near.join(texts.select(F.col("k1").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("k1").alias("b"), F.col("text").alias("text_b")), "b")
-        return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint, similarity double").distinct()
+        one, two = (texts.select(F.col("k1").alias(f"{n}1"), F.col("k2").alias(f"{n}2"), F.col("id").alias(f"id_{n}"), F.col("text").alias(f"text_{n}")) for n in "ab")
+        pairs = near.join(one, ["a1", "a2"]).join(two, ["b1", "b2"]).select(*_CLASS_PAIR, "id_a", "id_b", "text_a", "text_b")
+        return pairs.mapInArrow(compare, ", ".join(f"{c} bigint" for c in _CLASS_PAIR) + ", id_a string, id_b string, similarity double").distinct()
 
     def id_pairs(self) -> DataFrame:
         """Distinct ``(id_a, id_b)``, ``id_a < id_b``: members of similar classes and of one class."""
-        m = self.members.select("k1", "id")
-        shared = m.join(m.groupBy("k1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1"), "k1", "left_semi")
-        same = shared.select("k1", F.col("id").alias("x")).join(shared.select("k1", F.col("id").alias("y")), "k1").select("x", "y")
-        across = self.pairs.select("a", "b").join(m.select(F.col("k1").alias("a"), F.col("id").alias("x")), "a").join(m.select(F.col("k1").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
+        m = self.members
+        shared = m.join(m.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2"), ["k1", "k2"], "left_semi")
+        same = shared.withColumnRenamed("id", "x").join(shared.withColumnRenamed("id", "y"), ["k1", "k2"]).select("x", "y")
+        one, two = (m.select(F.col("k1").alias(f"{n}1"), F.col("k2").alias(f"{n}2"), F.col("id").alias(as_)) for n, as_ in (("a", "x"), ("b", "y")))
+        across = self.pairs.select(*_CLASS_PAIR).join(one, ["a1", "a2"]).join(two, ["b1", "b2"]).select("x", "y")
         # A class holds one id once; only the pairs within a class come in both directions.
         either = same.filter("x < y").unionByName(across.filter("x != y"))
         return either.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
@@ -329,15 +378,15 @@ class NearDuplicates:
 
         ``group_id`` is the smallest id of the connected group, ``n_links`` the
         number of similar classes of other texts, ``n_copies`` the number of
-        ids with the same shingles.
+        ids with the same shingles. An id with several texts counts with the
+        one of the smallest group.
         """
-        components = connected_components(self.pairs, "a", "b")
-        copies = self.members.groupBy("k1").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n_copies"))
-        links = self.pairs.select(F.explode(F.array("a", "b")).alias("k1")).groupBy("k1").agg(F.count(F.lit(1)).alias("n_links"))
-        labelled = copies.join(components.withColumnRenamed("node", "k1"), "k1", "left").join(links, "k1", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "k1"))
-        names = labelled.groupBy("component").agg(F.min("rep").alias("group_id"))
-        classes = labelled.join(names, "component").select("k1", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-        best = Window.partitionBy("id").orderBy("group_id")
-        rows = self.members.select("k1", "id").join(classes, "k1")
-        return rows.withColumn("n", F.row_number().over(best)).filter("n = 1").select("id", "group_id", "n_links", "n_copies")
+        components = connected_components(self.pairs, "id_a", "id_b").withColumnRenamed("node", "rep")
+        copies = self.members.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n_copies"))
+        ends = F.explode(F.array(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")), F.struct(F.col("b1").alias("k1"), F.col("b2").alias("k2")))).alias("k")
+        links = self.pairs.select(ends).groupBy("k.k1", "k.k2").agg(F.count(F.lit(1)).alias("n_links"))
+        classes = copies.join(components, "rep", "left").join(links, ["k1", "k2"], "left").select(
+            "k1", "k2", F.coalesce("component", "rep").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"
+        )
+        rows = self.members.join(classes, ["k1", "k2"]).groupBy("id").agg(F.min(F.struct("group_id", "n_links", "n_copies")).alias("r"))
+        return rows.select("id", "r.*")

@@ -21,7 +21,8 @@ def brute(rows, words, threshold, least):
 def test_pairs_of_the_table(spark):
     parsed = spark.read.parquet(f"{DATA.replace('sf0.001', 'sf0.01')}/parsed.parquet")
     expected = brute([(r.id, r.text) for r in parsed.collect()], 3, 0.6, 30)
-    assert {tuple(r) for r in NearDuplicates(parsed, 3, 0.6).id_pairs().collect()} == expected and expected
+    for hot in (100, 10, 1):
+        assert {tuple(r) for r in NearDuplicates(parsed, 3, 0.6, hot_bucket=hot).id_pairs().collect()} == expected and expected
 
 
 def edited(rng, n, copies):

@@ -35,7 +35,7 @@ class OpenBins:
         self.bins: dict[int, list[int]] = {}  # containers by residual, -1 once moved on
         self.live: Counter = Counter()
         self.head: dict[int, int] = {}
-        self.passed: dict[tuple[int, int], int] = {}
+        self.passed: dict[int, dict[int, int]] = {}
         self.shared: dict[int, dict[int, int]] = {}
         self.sources: list[int] = []
         self.clusters: list[int] = []
@@ -54,7 +54,7 @@ class OpenBins:
                     del self.residuals[k], self.bins[residual], self.live[residual]
                     self.head.pop(residual, None)
                     self.shared.pop(residual, None)
-                    self.passed = {key: v for key, v in self.passed.items() if key[1] != residual} if self.passed else self.passed
+                    self.passed.pop(residual, None)
                 self._keep(chosen, residual - size, bit, source)
                 return chosen
         self.sources.append(0)
@@ -75,11 +75,11 @@ class OpenBins:
     def _compatible(self, residual: int, bit: int, cluster: int, source_bit: int) -> int:
         row = self.bins[residual]
         # Before ``start`` all containers have moved on or hold this cluster, for good.
-        start = max(self.head.get(residual, 0), self.passed.get((cluster, residual), 0) if bit else 0)
+        start = max(self.head.get(residual, 0), self.passed.get(residual, {}).get(cluster, 0) if bit else 0)
         while start < len(row) and (row[start] < 0 or bit & self.clusters[row[start]]):
             start += 1
         if bit:
-            self.passed[cluster, residual] = start
+            self.passed.setdefault(residual, {})[cluster] = start
         else:
             self.head[residual] = start
         # Before ``other`` all containers have moved on or hold this source, for good.
@@ -113,7 +113,7 @@ def sized_documents(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY)
     return materialize(with_token_counts(chosen, "text", vocabulary).select("doc_id", "source", "cluster", "n_tokens"), "sized-documents")
 
 
-def pack_documents(documents: DataFrame, capacities: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, shard_items: int = SHARD_ITEMS) -> DataFrame:
+def pack_documents(documents: DataFrame, capacities: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, shard_items: int = SHARD_ITEMS, sized: DataFrame | None = None) -> DataFrame:
     """``(capacity_name, container_id, doc_id, part, start_token, end_token, n_tokens)``.
 
     Every document (``doc_id`` is taken to be unique, a repeated row is packed
@@ -121,13 +121,13 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, vocabulary: str
     capacity. One that is larger than the capacity is cut at token
     boundaries into full containers and a rest, which is packed like any other
     document. Null and empty texts have no tokens: they come out with a null
-    container. Capacities with a null name or less than one token are ignored,
+    container. ``sized`` may bring what :func:`sized_documents` made. Capacities with a null name or less than one token are ignored,
     other columns too.
     """
     named = capacities.filter("capacity_name IS NOT NULL AND capacity_tokens > 0").select("capacity_name", "capacity_tokens").distinct().limit(MAX_CAPACITIES + 1).collect()
     if len(named) > MAX_CAPACITIES:
         raise ValueError(f"more than {MAX_CAPACITIES} capacities")
-    sized = sized_documents(documents, vocabulary)
+    sized = sized_documents(documents, vocabulary) if sized is None else sized
     if not named:
         return sized.select(F.lit("").alias("capacity_name"), F.lit("").alias("container_id"), "doc_id", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("start_token"), "n_tokens", "n_tokens").toDF(
             "capacity_name", "container_id", "doc_id", "part", "start_token", "end_token", "n_tokens"
@@ -161,10 +161,20 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, vocabulary: str
     return packed.unionByName(full).unionByName(empty)
 
 
-def packing_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
-    """Per capacity: containers, items, tokens and the share of room that is filled."""
-    per = packed.filter("container_id IS NOT NULL").groupBy("capacity_name", "container_id").agg(F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("items"))
-    totals = per.groupBy("capacity_name").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("items").alias("n_items"), F.sum("used").alias("n_tokens"))
+def packing_report(packed: DataFrame, capacities: DataFrame, sized: DataFrame) -> DataFrame:
+    """Per capacity: containers, items, tokens, the share of room that is filled, and what the preference for other sources leaves.
+
+    ``n_shared`` counts the items that share their container with an earlier
+    one of their source: what a hard rule would have had to move elsewhere.
+    ``n_conflicts`` counts copies of a text in one container; there are none.
+    """
+    inside = packed.filter("container_id IS NOT NULL").join(sized.select("doc_id", "source", "cluster").dropDuplicates(["doc_id"]), "doc_id")
+    per = inside.groupBy("capacity_name", "container_id").agg(
+        F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("items"), (F.count("source") - F.countDistinct("source")).alias("shared"), (F.count("cluster") - F.countDistinct("cluster")).alias("conflicts")
+    )
+    totals = per.groupBy("capacity_name").agg(
+        F.count(F.lit(1)).alias("n_containers"), F.sum("items").alias("n_items"), F.sum("used").alias("n_tokens"), F.sum("shared").alias("n_shared"), F.sum("conflicts").alias("n_conflicts")
+    )
     return totals.join(capacities.select("capacity_name", "capacity_tokens").distinct(), "capacity_name").select(
-        "capacity_name", "capacity_tokens", "n_containers", "n_items", "n_tokens", (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("fill")
+        "capacity_name", "capacity_tokens", "n_containers", "n_items", "n_tokens", (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("fill"), "n_shared", "n_conflicts"
     )

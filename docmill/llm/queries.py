@@ -70,22 +70,21 @@ def p6_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.recall_report(points, knn.nearest_vectors(points))
 
 
-def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    capacities = spark.read.parquet(f"{sf_dir}/capacities.parquet")
-    return packing.pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), capacities), capacities
-
-
 def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _packed(spark, sf_dir)[0]
+    return packing.pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/capacities.parquet"))
 
 
 def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packing_report(*_packed(spark, sf_dir))
+    documents, capacities = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "capacities"))
+    sized = packing.sized_documents(documents)
+    return packing.packing_report(packing.pack_documents(documents, capacities, sized=sized), capacities, sized)
 
 
-def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple]]:
+def _mixed(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, list[tuple]]:
+    """Mixes at the largest budget that reaches all shares, or (``whole``) of as many tokens as the documents have."""
     sized = packing.sized_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    plan = mixing.mixing_plan(sized, spark.read.parquet(f"{sf_dir}/mix_targets.parquet"))
+    total = int(sized.agg({"n_tokens": "sum"}).first()[0] or 0) if whole else None
+    plan = mixing.mixing_plan(sized, spark.read.parquet(f"{sf_dir}/mix_targets.parquet"), total)
     return mixing.mix_documents(sized, plan), plan
 
 
@@ -97,6 +96,15 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares_report(*_mixed(spark, sf_dir))
 
 
+def p8_capped_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A budget that small sources cannot serve: they run out at their cap, the others fill up."""
+    return _mixed(spark, sf_dir, whole=True)[0]
+
+
+def p8_capped_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares_report(*_mixed(spark, sf_dir, whole=True))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return toxicity.score_documents(read("documents").select("doc_id", "source", "text"), read("review_labels"), read("flag_terms"))
@@ -170,7 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     names = """
         p1_token_budget p2_found p2_clean_text p3_found p3_pieces p4_found p4_groups
         p5_found p5_clean_text p5_sequences p6_found p6_nearest p6_recall
-        p7_packing p7_report p8_mixture p8_shares p9_found p9_scores p9_source_rates
+        p7_packing p7_report p8_mixture p8_shares p8_capped_mixture p8_capped_shares p9_found p9_scores p9_source_rates
     """.split()
     return {name: globals()[name] for name in names}
 

@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from docmill.llm.packing import OpenBins, pack, pack_documents, packing_report, sized_documents
 from tests.llm.data import DATA
@@ -60,8 +60,13 @@ def test_table(spark):
     for (name, _), items in bins.items():
         assert sum(r.n_tokens for r in items) <= room[name]
         assert len({sized[r.doc_id].cluster for r in items}) == len(items)
-    report = {r.capacity_name: r.fill for r in packing_report(pack_documents(documents, capacities), capacities).collect()}
-    assert report["short"] > 0.85 and report["medium"] > 0.85
+    report = {r.capacity_name: r for r in packing_report(pack_documents(documents, capacities), capacities, sized_documents(documents)).collect()}
+    assert report["short"].fill > 0.85 and report["medium"].fill > 0.85
+    for name, r in report.items():
+        shared = sum(n - 1 for (c, _), items in bins.items() if c == name for n in Counter(sized[i.doc_id].source for i in items if sized[i.doc_id].source is not None).values())
+        assert r.n_items == sum(len(items) for (c, _), items in bins.items() if c == name) and r.n_conflicts == 0
+        # Shards of other sizes make other containers, of about as many neighbours of one source.
+        assert abs(r.n_shared - shared) <= 0.2 * r.n_items
 
 
 def test_odd_rows(spark):

@@ -34,6 +34,12 @@ def exists(spark: SparkSession, name: str) -> bool:
     return fs.exists(path)
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder of a few."""
+    fs, path = _path(spark, folder)
+    return [entry.getPath().getName() for entry in fs.listStatus(path)]
+
+
 def write_text(spark: SparkSession, name: str, text: str) -> None:
     """Write a small file beside its place and move it there in one step."""
     fs, path = _path(spark, name)

@@ -8,11 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from docmill.functions.expressions import vector_problem
 from docmill.functions.identity import POINT_PREFIX, fingerprint, point_id, table_fingerprint
 from docmill.operators import vindex
-from docmill.operators.artifacts import chunk_violations, load_chunks, read_jsonl, write_chunks, write_json, write_jsonl
+from docmill.operators.artifacts import chunk_violations, load_chunks, read_json, read_jsonl, write_chunks, write_jsonl
 from docmill.operators.chunking import chunk_configuration, chunk_structured, token_measure
-from docmill.operators.embedding import EmbeddingProvider, HashingEmbedding, ModelServerEmbedding, check_texts, check_vectors, embed_table, invalid_vectors, query_prompt
+from docmill.operators.embedding import EmbeddingProvider, HashingEmbedding, ModelServerEmbedding, check_texts, check_vectors, embed_table, query_prompt
 from docmill.operators.retrieval import batch_top_k, compare_collections, cosine_top_k, recall_at_k, retrieve
 from docmill.schemas import CHUNK
 from docmill.streaming.ingest import index_stream, stream_chunks
@@ -36,8 +37,8 @@ def test_identities(spark):
 
 
 def test_vectors_and_texts():
-    assert check_vectors([[1.0, 0]], 1, 2)
-    for bad in ([[1.0]], [[math.nan, 1]], [[0.0, 0.0]], [[True, 1.0]], [[None, 1.0]], []):
+    assert check_vectors([[1.0, 0]], 1, 2).tolist() == [[1.0, 0.0]] and check_vectors([], 0, 2).shape[0] == 0
+    for bad in ([[1.0]], [[1.0, 2.0], [3.0]], [["1", 2.0]], [[math.nan, 1]], [[0.0, 0.0]], [[True, 1.0]], [[None, 1.0]], []):
         with pytest.raises(ValueError):
             check_vectors(bad, 1, 2)
     for bad in ([], [" "], [None]):
@@ -51,8 +52,8 @@ def test_vectors_and_texts():
 
 def test_native_vector_check(spark):
     rows = [([1.0, 0.0],), ([0.0, 0.0],), ([float("nan"), 1.0],), ([float("inf"), 1.0],), ([1.0],), (None,), ([None, 1.0],)]
-    got = {r.problem: r.rows for r in invalid_vectors(spark.createDataFrame(rows, "vector array<float>"), 2).collect()}
-    assert got == {"zero": 1, "non-finite": 3, "dimension": 1, "null": 1}
+    got = [r.problem for r in spark.createDataFrame(rows, "vector array<float>").select(vector_problem(F.col("vector"), 2).alias("problem")).collect()]
+    assert got == [None, "zero", "non-finite", "non-finite", "dimension", "null", "non-finite"]
 
 
 def test_index_resume_and_retrieve(spark, tmp_path):
@@ -62,8 +63,12 @@ def test_index_resume_and_retrieve(spark, tmp_path):
         retrieve(spark, "mesh", folder, provider)
     half = vindex.missing_chunks(vindex.collection_points(spark, folder), chunks).orderBy("id").limit(2)
     embed_table(half.select("point_id", "text", F.struct("id", "text", "body", "metadata").alias("payload")), provider).select("point_id", "vector", "payload").write.parquet(f"{folder}/points")
-    state = vindex.index_chunks(chunks, manifest, folder, provider, 3, commits=2)
+    state = vindex.index_chunks(chunks, manifest, folder, provider, 3, part_rows=3)
     assert state["status"] == "complete" and state["indexed_chunks"] == manifest["chunks"]
+    journal = [read_json(spark, f"{folder}/journal/{n}") for n in vindex.Journal(spark, folder).names()]
+    parts = -(-manifest["chunks"] // 3)
+    assert [e.get("part") for e in journal] == [None, *(f"{k + 1}/{parts}" for k in range(parts)), None]
+    assert [e["indexed_chunks"] for e in journal] == sorted(e["indexed_chunks"] for e in journal) and journal[0]["indexed_chunks"] == 2
     assert vindex.index_chunks(chunks, manifest, folder, provider)["status"] == "complete"
     assert vindex.collection_points(spark, folder).count() == manifest["chunks"]
     best = retrieve(spark, "how is the boundary refined", folder, provider, 2).collect()
@@ -85,10 +90,13 @@ def test_index_resume_and_retrieve(spark, tmp_path):
     assert vindex.collection_state(spark, folder)["status"] == "incomplete"
     with pytest.raises(ValueError, match="incomplete"):
         retrieve(spark, "x", folder, provider)
-    broken = vindex.collection_state(spark, folder) | {"identity": "0"}
-    write_json(spark, f"{folder}/state.json", broken)
-    with pytest.raises(ValueError, match="identity"):
-        vindex.collection_state(spark, folder)
+    for change, problem in (({"identity": "0"}, "identity"), ({"vectors": {"size": 64, "distance": "dot"}}, "vectors"), ({"schema_version": 0}, "no supported")):
+        good = vindex.collection_state(spark, folder)
+        vindex.Journal(spark, folder).add(good, **change)
+        with pytest.raises(ValueError, match=problem):
+            vindex.collection_state(spark, folder)
+        vindex.Journal(spark, folder).add(good)
+    assert not vindex.completeness(vindex.collection_points(spark, folder), chunks).first().complete
 
 
 def test_payload_must_match(spark, tmp_path):

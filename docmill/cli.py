@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 import os
 import sys
+import tomllib
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from docmill.operators import artifacts, chunking, embedding, retrieval, sections, vindex
 from docmill.sources import crawl
-from docmill.sources.config import read_sources, select_sources
-from docmill.sources.scan import scan_sources
+from docmill.sources.config import read_sources
+from docmill.sources.scan import scan_pages, scan_sources
 
 
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="docmill", description=__doc__)
     parser.add_argument("--root", default=".", help="folder that source paths and data are relative to")
     commands = parser.add_subparsers(dest="command", required=True)
-    fetch = commands.add_parser("crawl", help="download the URL lists of sources")
-    fetch.add_argument("--source", action="append")
-    fetch.add_argument("--lists", default="lists", help="folder with one file of 'path url' lines per source")
+    fetch = commands.add_parser("crawl", help="choose and download the files of sources")
+    fetch.add_argument("--source", action="append", help="name of a crawl entry, may be repeated; without it all are taken")
+    fetch.add_argument("--crawl", default="crawl.toml", help="file of [[crawl]] tables: name, kind (index, tree, files) and what the kind needs")
     parse = commands.add_parser("parse", help="files to sections")
     parse.add_argument("--sources", default="sources.toml")
     chunk = commands.add_parser("chunk", help="sections to chunks")
@@ -36,6 +39,7 @@ def build_parser() -> argparse.ArgumentParser:
     index.add_argument("--input", required=True)
     index.add_argument("--collection", required=True)
     index.add_argument("--batch-size", type=int, default=16)
+    index.add_argument("--part-rows", type=int, default=vindex.PART_ROWS, help="chunks after which progress is saved")
     search = commands.add_parser("retrieve", help="search a collection")
     search.add_argument("question")
     search.add_argument("--collection", required=True)
@@ -50,29 +54,36 @@ def _provider(args: argparse.Namespace) -> embedding.EmbeddingProvider:
     return embedding.ModelServerEmbedding(args.server_url, args.model) if args.server_url else embedding.HashingEmbedding()
 
 
-def run(args: argparse.Namespace, spark: SparkSession) -> str:
+def run(args: argparse.Namespace, spark: SparkSession, fetch: crawl.Fetcher = crawl.fetch_url) -> str:
     """Run one command; returns what it prints. Failures raise."""
     root = args.root.rstrip("/")
     if args.command == "crawl":
-        names = args.source or sorted(p.stem for p in Path(root, args.lists).glob("*.txt"))
+        with open(f"{root}/{args.crawl}", "rb") as stream:
+            entries = {entry["name"]: entry for entry in tomllib.load(stream)["crawl"]}
+        unknown = [name for name in args.source or [] if name not in entries]
+        if unknown:
+            raise ValueError(f"unknown source {unknown[0]!r}")
         done = []
-        for name in names:
-            listed = [line.split(None, 1) for line in Path(root, args.lists, f"{name}.txt").read_text(encoding="utf-8").splitlines() if line.strip()]
-            urls = spark.createDataFrame([tuple(x) for x in listed], "path string, url string")
-            crawl.save_files(crawl.download(urls), f"{root}/data/raw/{name}")
+        for name in args.source or entries:
+            files = crawl.download(crawl.listed(spark, entries[name], fetch), fetch)
+            crawl.save_files(files, f"{root}/data/raw/{name}")
+            artifacts.write_text(spark, f"{root}/data/raw/{name}.SOURCE.txt", crawl.provenance(entries[name].get("about", f"{name}\n"), datetime.date.today().isoformat()))
             size = crawl.corpus_size(spark.read.parquet(f"{root}/data/raw/{name}")).first()
             done.append(f"{name}: {size.files} files, {size.megabytes:.1f} MB")
         return "\n".join(done)
     if args.command == "parse":
         sources = read_sources(Path(root, args.sources))
-        paged = [s.name for s in select_sources(sources, None) if s.format == "pdf"]
-        documents, left_out = scan_sources(spark, [s for s in sources if s.name not in paged], root)
-        parsed = sections.parse_documents(documents, sources)
-        rows, audit = sections.sections_of(parsed), sections.audit_of(parsed).unionByName(left_out)
-        for name in paged:  # paged text made beforehand: source, doc, sha256, title, page, text
-            pages = f"{root}/data/pages/{name}"
-            if artifacts.exists(spark, pages):
-                rows = rows.unionByName(sections.parse_pages(spark.read.parquet(pages), sources))
+        flat, paged = [[s for s in sources if (s.format == "pdf") == kind] for kind in (False, True)]
+        found: list[tuple] = []
+        if flat:
+            documents, left_out = scan_sources(spark, flat, root)
+            parsed = sections.parse_documents(documents, flat)
+            found.append((sections.sections_of(parsed), sections.audit_of(parsed).unionByName(left_out)))
+        for source in paged:  # page texts made beforehand, see scan_pages
+            pages, left_out = scan_pages(spark, source, f"{root}/data/pages/{source.name}")
+            made = sections.parse_pages(pages, paged)
+            found.append((made, sections.audit_of_pages(pages, made).unionByName(left_out)))
+        rows, audit = (reduce(DataFrame.unionByName, tables) for tables in zip(*found))
         manifest = artifacts.write_parsed(rows, audit, sources, f"{root}/data/parsed")
         return "\n".join(f"{o['source']}: {o['docs']} docs, {o['sections']} sections, {o['chars'] / 1e6:.1f}M chars" for o in manifest["outputs"])
     if args.command == "chunk":
@@ -94,7 +105,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> str:
         return folder
     if args.command == "index":
         chunks, manifest = artifacts.load_chunks(spark, args.input)  # before any service is contacted
-        return json.dumps({"collection": args.collection, **vindex.index_chunks(chunks, manifest, args.collection, _provider(args), args.batch_size)}, indent=2)
+        return json.dumps({"collection": args.collection, **vindex.index_chunks(chunks, manifest, args.collection, _provider(args), args.batch_size, args.part_rows)}, indent=2)
     found = retrieval.retrieve(spark, args.question, args.collection, _provider(args), args.top_k)
     return json.dumps([json.loads(r) for r in found.toJSON().collect()], indent=2, ensure_ascii=False)
 

@@ -9,30 +9,17 @@ from pyspark.sql import functions as F
 
 # Line separators, and white space as a strip sees it.
 LINE_SEPARATORS = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\u0085\\u2028\\u2029]"
-_SPACE = "[\\s\\u001c-\\u001f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
-_FENCE = r"^ {0,3}(`{3,}|~{3,})(.*)$"
+SPACE = "[\\s\\u001c-\\u001f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 
 
 def strip(text: Column) -> Column:
     """``text`` without Unicode white space at the ends."""
-    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 
 
 def is_blank(text: Column) -> Column:
     """Whether there is nothing but Unicode white space; stops at the first other character."""
-    return ~text.rlike(f"[^{_SPACE[1:]}")
-
-
-def lines_of(text: Column) -> Column:
-    """Lines without their ends; a final line end adds no empty line, empty text has none."""
-    parts = F.split(text, LINE_SEPARATORS, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-
-
-def one_line(text: Column) -> Column:
-    """White space collapsed, none before ``( ) ,``, none after ``(``."""
-    joined = F.regexp_replace(strip(text), f"{_SPACE}+", " ")
-    return F.regexp_replace(F.regexp_replace(joined, r" +([(),])", "$1"), r"\( +", "(")
+    return ~text.rlike(f"[^{SPACE[1:]}")
 
 
 def glob_pattern(glob: str) -> str:
@@ -70,57 +57,6 @@ def headings_of(levels: list[Column]) -> Column:
     return F.array_compact(F.array(*(heading_text(level) for level in levels)))
 
 
-def code_document(doc: Column, content: Column) -> Column:
-    """A source file as Markdown: its name as heading, its text in a fence longer than any run of backticks."""
-    runs = F.transform(F.regexp_extract_all(content, F.lit("(`+)"), F.lit(1)), F.length)
-    fence = F.repeat(F.lit("`"), F.greatest(F.lit(3), F.coalesce(F.array_max(runs), F.lit(0)) + 1))
-    language = F.when(doc.rlike(r"\.(cpp|hpp)$"), "cpp").otherwise("text")
-    return F.concat(F.lit("# "), doc, F.lit("\n\n"), fence, language, F.lit("\n"), F.rtrim(content, F.lit("\n")), F.lit("\n"), fence, F.lit("\n"))
-
-
-def fence_run_after(text: Column) -> Column:
-    """Run of the code fence still open at the end of ``text``, or empty."""
-
-    def step(run: Column, line: Column) -> Column:
-        mark, rest = F.regexp_extract(line, _FENCE, 1), F.regexp_extract(line, _FENCE, 2)
-        closes = mark.startswith(run) & (mark != "") & is_blank(rest)
-        return F.when(run == "", mark).when(closes, F.lit("")).otherwise(run)
-
-    return F.aggregate(lines_of(text), F.lit(""), step)
-
-
-def chunk_header(title: Column, headings: Column) -> Column:
-    """``title > h1 > ...``; a first heading equal to the title is not repeated."""
-    rest = F.when(F.get(headings, F.lit(0)) == title, F.slice(headings, 2, F.greatest(F.size(headings) - 1, F.lit(0)))).otherwise(headings)
-    return F.array_join(F.concat(F.array(title), rest), " > ")
-
-
-def common_prefix(lists: Column) -> Column:
-    """Longest common prefix of an array of string arrays."""
-
-    def meet(a: Column, b: Column) -> Column:
-        least = F.least(F.size(a), F.size(b))
-        # The first place where they differ ends the prefix.
-        differs = F.array_position(F.zip_with(F.slice(a, 1, least), F.slice(b, 1, least), lambda x, y: ~x.eqNullSafe(y)), True)
-        return F.slice(a, 1, F.when(differs == 0, least).otherwise(differs - 1).cast("int"))
-
-    return F.aggregate(F.slice(lists, 2, F.greatest(F.size(lists) - 1, F.lit(0))), F.get(lists, F.lit(0)), meet)
-
-
-def greedy_groups(lengths: Column, size: int, joint: int = 2) -> Column:
-    """Sizes of the groups that greedy packing makes of units of these lengths; ``joint`` is the cost of joining two."""
-    empty = F.struct(F.array().cast("array<int>").alias("done"), F.lit(-1).alias("open"))
-
-    def step(state: Column, length: Column) -> Column:
-        fits = (state["open"] >= 0) & (state["open"] + joint + length <= size)
-        return F.struct(
-            F.when(fits | (state["open"] < 0), state["done"]).otherwise(F.concat(state["done"], F.array(state["open"]))).alias("done"),
-            F.when(fits, state["open"] + joint + length).otherwise(length).cast("int").alias("open"),
-        )
-
-    return F.aggregate(lengths, empty, step, lambda s: F.when(s["open"] < 0, s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))
-
-
 def vector_problem(vector: Column, dim: int) -> Column:
     """Why a vector cannot be used for cosine search (``null``, ``dimension``, ``non-finite``, ``zero``), or null."""
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)))
@@ -148,10 +84,6 @@ def citations(metadata: Column) -> Column:
     return F.when(F.size(F.coalesce(metadata["locations"], F.array())) > 0, metadata["locations"]).otherwise(single)
 
 
-def query_text(question: Column, instruction: str) -> Column:
-    return F.concat(F.lit(f"Instruct: {instruction}\nQuery: "), question)
-
-
 def keeps_reference_page(name: Column) -> Column:
     """Whether a listed page is API reference: class, struct or namespace pages without member indexes."""
     wanted = name.endswith(".html") & (name.startswith("class") | name.startswith("struct") | name.startswith("namespace"))

@@ -366,6 +366,12 @@ def _anchor_of(heading: Node) -> str | None:
     return heading.parent.attrs.get("id") if heading.parent.tag == "section" else None
 
 
+def page_title(root: Node) -> str | None:
+    """Text of the first ``title``."""
+    named = next((n for n in root.descendants() if n.tag == "title"), None)
+    return "".join(s.strip() for s in named.strings()) if named is not None else None
+
+
 def page_markdown(text: str, content: str | None = None, drop: list[str] | None = None, flatten: list[str] | None = None, url: str = "") -> tuple[str | None, str]:
     """Title and Markdown of the content region of an HTML page.
 
@@ -376,8 +382,7 @@ def page_markdown(text: str, content: str | None = None, drop: list[str] | None
     alternative text. Raises ``ValueError`` if the region is not found.
     """
     root = parse_html(text)
-    named = next((n for n in root.descendants() if n.tag == "title"), None)
-    title = "".join(s.strip() for s in named.strings()) if named is not None else None
+    title = page_title(root)
     region = Selector(content).first(root) if content else next((n for n in root.descendants() if n.tag == "body"), None)
     if region is None:
         raise ValueError(f"content selector {content or 'body'!r} not found")

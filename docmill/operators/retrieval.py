@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,9 +10,10 @@ from pyspark.sql import functions as F
 from docmill.functions.expressions import citations, dot, norm, vector_problem
 from docmill.operators.embedding import EmbeddingProvider, check_vectors
 from docmill.operators.vindex import collection_points, collection_state
+from docmill.plans.runtime import tasks_for
 
-#: Questions scored together in one pass; more are taken in further passes.
-QUESTION_BLOCK = 2_000
+#: Questions and points that meet in one task.
+QUESTION_BLOCK, POINT_BLOCK = 2_000, 20_000
 
 
 def cosine_top_k(points: DataFrame, query: list[float], k: int, id_column: str = "point_id", digits: int | None = None) -> DataFrame:
@@ -39,46 +38,38 @@ def cosine_top_k(points: DataFrame, query: list[float], k: int, id_column: str =
 def batch_top_k(points: DataFrame, queries: DataFrame, k: int, dim: int, id_column: str = "vec_id", query_column: str = "query_id", digits: int = 9) -> DataFrame:
     """``(query_id, id, score, rank)``: the ``k`` nearest points of each query of a stated set.
 
-    ``queries`` has ``query_id, vector`` and is read by the driver in blocks of
-    ``QUESTION_BLOCK``; each block makes one pass over the points, in which a
-    task keeps ``k`` rows per query. Cosine in double precision rounded to
-    ``digits``; a point never finds a query of the same id if both columns have
-    the same name.
+    Queries and points are dealt by hash to blocks, and every block of queries
+    meets every block of points in one task, which puts out ``k`` rows per
+    query. Cosine in double precision rounded to ``digits``; a point never
+    finds a query of the same id if both columns have the same name.
     """
-    rows = queries.filter(vector_problem(F.col("vector"), dim).isNull()).select(query_column, "vector").orderBy(query_column)
-    asked = [(r[0], r[1]) for r in rows.toLocalIterator()]
-    usable = points.filter(vector_problem(F.col("vector"), dim).isNull()).select(F.col(id_column).cast("bigint").alias("id"), "vector")
+    sides = {}
+    for name, df, key, rows in (("query", queries, query_column, QUESTION_BLOCK), ("point", points, id_column, POINT_BLOCK)):
+        usable = df.filter(vector_problem(F.col("vector"), dim).isNull()).select(F.col(key).cast("bigint").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
+        count = tasks_for(usable.count(), rows, least=1)
+        sides[name] = usable.withColumn(f"{name}_block", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")), count
+    met = lambda side, other: sides[side][0].withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.lit(sides[other][1] - 1))))
     same = id_column == query_column
-    result = None
-    for start in range(0, max(1, len(asked)), QUESTION_BLOCK):
-        block = asked[start : start + QUESTION_BLOCK]
-        q_ids = np.array([i for i, _ in block], np.int64)
-        q = np.array([v for _, v in block], np.float64).reshape(-1, dim)
-        q /= np.linalg.norm(q, axis=1, keepdims=True) if len(q) else 1.0
-
-        def best(batches: Iterator[pa.RecordBatch], q: np.ndarray = q, q_ids: np.ndarray = q_ids) -> Iterator[pa.RecordBatch]:
-            held_ids = np.zeros((len(q_ids), 0), np.int64)
-            held = np.zeros((len(q_ids), 0))
-            for batch in batches:
-                for at in range(0, batch.num_rows, 4096):
-                    part = batch.slice(at, 4096)
-                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    ids = part.column(0).to_numpy()
-                    scores = np.round(q @ x.T, digits)
-                    if same:
-                        scores[q_ids[:, None] == ids[None, :]] = -np.inf
-                    held = np.concatenate([held, scores], axis=1)
-                    held_ids = np.concatenate([held_ids, np.broadcast_to(ids, scores.shape)], axis=1)
-                    order = np.lexsort((held_ids, -held), axis=1)[:, :k]
-                    held, held_ids = np.take_along_axis(held, order, 1), np.take_along_axis(held_ids, order, 1)
-            row, col = np.nonzero(held > -np.inf)
-            yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(held_ids[row, col]), pa.array(held[row, col])], names=["query_id", "id", "score"])
-
-        found = usable.mapInArrow(best, "query_id bigint, id bigint, score double")
-        result = found if result is None else result.unionByName(found)
+
+    def unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        x = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        return table["id"].to_numpy(), x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def best(asked: pa.Table, data: pa.Table) -> pa.Table:
+        (q_ids, q), (ids, x) = unit(asked), unit(data)
+        scores = np.round(q @ x.T, digits)
+        if same:
+            scores[q_ids[:, None] == ids[None, :]] = -np.inf
+        if scores.shape[1] > k:  # what is under the k-th best of a query cannot be among its k best
+            least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+            scores[scores < least[:, None]] = -np.inf
+        row, col = np.nonzero(scores > -np.inf)
+        return pa.table({"query_id": pa.array(q_ids[row]), "id": pa.array(ids[col]), "score": pa.array(scores[row, col])})
+
+    blocks = ["query_block", "point_block"]
+    found = met("query", "point").groupBy(*blocks).cogroup(met("point", "query").groupBy(*blocks)).applyInArrow(best, "query_id bigint, id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return result.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def retrieve(spark: SparkSession, question: str, folder: str, provider: EmbeddingProvider, top_k: int = 5) -> DataFrame:

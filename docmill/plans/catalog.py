@@ -11,13 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docmill.functions import expressions as ex
+from docmill.functions import html, markdown
 from docmill.functions.identity import content_hash, point_id
+from docmill.functions.text import each
 from docmill.operators import artifacts, chunking, embedding, retrieval, sections, vindex
-from docmill.plans.prefix import running_sum
 from docmill.sources import crawl, scan
-from docmill.sources.config import MAX_SOURCES, Source
+from docmill.sources.config import MAX_SOURCES, Source, addressed, sources_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -89,8 +91,8 @@ def source_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""SELECT a.audit_id, replace(replace(s.url, '{path}', a.doc), '{page}', CASE WHEN stem = 'index' OR stem LIKE '%/index' THEN regexp_replace(stem, 'index$', '') ELSE stem || '/' END) AS url
 FROM (SELECT *, regexp_replace(doc, '([^/])\.[^./]+$', '\1') AS stem FROM audit) a JOIN sources s ON s.name = a.source WHERE a.doc IS NOT NULL""")
 def doc_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = _read(spark, sf_dir, "sources").select(F.col("name").alias("source"), "url")
-    return _read(spark, sf_dir, "audit").filter("doc IS NOT NULL").join(sources, "source").select("audit_id", ex.document_url(F.col("url"), F.col("doc")).alias("url"))
+    documents = _read(spark, sf_dir, "audit").filter("doc IS NOT NULL").select("audit_id", "source", "doc")
+    return addressed(documents, sources_of(_read(spark, sf_dir, "sources"))).filter("url IS NOT NULL").select("audit_id", "url")
 
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL")
@@ -103,24 +105,25 @@ def content_sha256(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""SELECT id, len(parts) - CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END AS n_lines FROM (SELECT id, string_split_regex(text, '\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]') AS parts FROM parsed)""")
 def line_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "parsed").select("id", F.size(ex.lines_of(F.col("text"))).alias("n_lines"))
+    return each(_read(spark, sf_dir, "parsed").select("id", "text"), markdown.line_count, ["text"], "n_lines", T.IntegerType())
 
 
 @query(rf"""SELECT id, regexp_replace(regexp_replace(trim(regexp_replace(text, '{_WS}+', ' ', 'g')), ' +([(),])', '\1', 'g'), '\( +', '(', 'g') AS line FROM parsed""")
 def one_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "parsed").select("id", ex.one_line(F.col("text")).alias("line"))
+    return each(_read(spark, sf_dir, "parsed").select("id", "text"), html.one_line, ["text"], "line", T.StringType())
 
 
 @query(r"""SELECT id, '# ' || doc || chr(10) || chr(10) || fence || CASE WHEN regexp_matches(doc, '\.(cpp|hpp)$') THEN 'cpp' ELSE 'text' END || chr(10) || rtrim(text, chr(10)) || chr(10) || fence || chr(10) AS markdown
 FROM (SELECT *, repeat('`', greatest(3, coalesce(list_max(list_transform(regexp_extract_all(text, '`+'), lambda x: length(x))), 0) + 1)::INT) AS fence FROM parsed) t""")
 def code_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "parsed").select("id", ex.code_document(F.col("doc"), F.col("text")).alias("markdown"))
+    return each(_read(spark, sf_dir, "parsed").select("id", "doc", "text"), sections.code_markdown, ["doc", "text"], "markdown", T.StringType())
 
 
 @query(r"""SELECT DISTINCT id, trim(regexp_extract('<html><head><title> ' || metadata.title || ' </title></head>', '<title>(.*?)</title>', 1)) AS title FROM parsed WHERE metadata.title IS NOT NULL""")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit("<html><head><title> "), F.col("metadata.title"), F.lit(" </title></head>"))
-    return _read(spark, sf_dir, "parsed").filter("metadata.title IS NOT NULL").select("id", F.trim(F.regexp_extract(page, "<title>(.*?)</title>", 1)).alias("title")).distinct()
+    pages = _read(spark, sf_dir, "parsed").filter("metadata.title IS NOT NULL").select("id", page.alias("page")).distinct()
+    return each(pages, lambda text: html.page_title(html.parse_html(text)), ["page"], "title", T.StringType())
 
 
 def _parse(spark: SparkSession, sf_dir: str, kind: str, before: str = "", after: str = "") -> DataFrame:
@@ -146,14 +149,30 @@ def parse_code_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.audit_of(_parse(spark, sf_dir, "code")).select("doc", "status", "sha256", "replacement_characters")
 
 
-@query()
-def parse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Source]]:
+    """Sections with a page number read as pages, and their sources."""
     rows = _read(spark, sf_dir, "parsed").filter("metadata.page IS NOT NULL").dropDuplicates(["id"])
     names = rows.select("source").distinct().limit(MAX_SOURCES + 1).collect()
     if len(names) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     pages = rows.select("source", "doc", F.coalesce("metadata.document_sha256", F.lit("")).alias("sha256"), F.lit(None).cast("string").alias("title"), "metadata.page", "text")
-    return sections.parse_pages(pages, [Source(r.source, "pdf", ".", "https://docs.example/{path}") for r in names])
+    return pages, [Source(r.source, "pdf", ".", "https://docs.example/{path}") for r in names]
+
+
+@query()
+def parse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections.parse_pages(*_pages(spark, sf_dir))
+
+
+@query(rf"""WITH pages AS (SELECT source, doc, metadata.page AS page, coalesce(metadata.document_sha256, '') AS sha256, length(text) - length(replace(text, chr(65533), '')) AS damaged FROM parsed WHERE metadata.page IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingested_at) = 1)
+SELECT source, doc, CASE WHEN n > 0 THEN 'parsed' ELSE 'empty' END AS status, n AS sections, sha256, damaged AS replacement_characters
+FROM (SELECT source, doc, min(sha256) AS sha256, count(*) FILTER (WHERE page % 3 > 0) AS n, coalesce(sum(damaged) FILTER (WHERE page % 3 > 0), 0) AS damaged FROM pages GROUP BY ALL)""")
+def page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of one heading with a line, one without and, on every third page, no text."""
+    pages, sources = _pages(spark, sf_dir)
+    line = F.concat(F.lit("# Page\nIt says: "), F.regexp_replace("text", ex.SPACE + "+", " "), F.lit("\n## Empty\n"))
+    pages = pages.withColumn("text", F.when(F.col("page") % 3 > 0, line))
+    return sections.audit_of_pages(pages, sections.parse_pages(pages, sources)).select("source", "doc", "status", "sections", "sha256", "replacement_characters")
 
 
 # ---- sections
@@ -184,17 +203,17 @@ def heading_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _numbered(parsed: DataFrame, *columns) -> DataFrame:  # noqa: ANN002
-    """Sections once per id with their number ``n`` (from 1) in the document."""
+    """Sections once per id with their number ``i`` (from 0) in the document."""
     position = F.regexp_extract("id", r":(\d{1,15})$", 1).cast("bigint")
-    flat = parsed.dropDuplicates(["id"]).select("id", "source", "doc", position.alias("position"), F.lit(1).alias("one"), *columns)
-    return running_sum(flat.withColumn("bucket", F.floor(F.col("position") / 1000)), ["source", "doc"], "bucket", [F.col("position"), F.col("id")], "one", "n")
+    flat = parsed.dropDuplicates(["id"]).select("id", "source", "doc", position.alias("position"), *columns)
+    return sections.numbered(flat, ["position", "id"], F.floor(F.col("position") / 1000))
 
 
 @query(rf"""SELECT id, source || '/' || doc || '@' || substr(coalesce(metadata.document_sha256, ''), 1, 16) || '#' || coalesce(metadata.anchor, 'key') || ':' || (row_number() OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - 1) AS rebuilt FROM {_ONCE}""")
 def section_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = _numbered(_read(spark, sf_dir, "parsed"), F.col("metadata"))
     m = F.col("metadata")
-    rebuilt = F.concat("source", F.lit("/"), "doc", F.lit("@"), F.substring(F.coalesce(m["document_sha256"], F.lit("")), 1, 16), F.lit("#"), F.coalesce(m["anchor"], F.lit("key")), F.lit(":"), F.col("n") - 1)
+    rebuilt = sections.section_id(F.coalesce(m["document_sha256"], F.lit("")), F.coalesce(m["anchor"], F.lit("key")), F.col("i"))
     return flat.select("id", rebuilt.alias("rebuilt"))
 
 
@@ -209,12 +228,14 @@ def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT a.source, a.doc FROM audit a ANTI JOIN parsed p ON p.source = a.source AND p.doc = a.doc WHERE a.status = 'parsed'
-UNION ALL SELECT a.source, a.doc FROM audit a JOIN (SELECT source, doc, count(*) AS n FROM {_ONCE} GROUP BY ALL) p USING (source, doc) WHERE a.sections IS NOT NULL AND a.sections <> p.n""")
+UNION ALL SELECT a.source, a.doc FROM audit a JOIN (SELECT source, doc, count(*) AS n FROM {_ONCE} GROUP BY ALL) p USING (source, doc) WHERE a.sections IS NOT NULL AND a.sections + CASE WHEN a.audit_id % 7 = 0 THEN 1 ELSE 0 END <> p.n
+UNION ALL SELECT source, doc || '#gone' FROM audit WHERE audit_id % 11 = 0 AND status = 'parsed'""")
 def audit_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit with every seventh number wrong, and every eleventh document once more under a name without sections."""
     audit = _read(spark, sf_dir, "audit")
-    counts = sections.audit_sections(_read(spark, sf_dir, "parsed").dropDuplicates(["id"])).select("source", "doc", F.col("sections").alias("n"))
-    joined = audit.join(counts, ["source", "doc"], "left")
-    return joined.filter(((F.col("status") == "parsed") & F.col("n").isNull()) | (F.col("sections") != F.col("n"))).select("source", "doc")
+    wrong = audit.withColumn("sections", F.col("sections") + F.when(F.col("audit_id") % 7 == 0, 1).otherwise(0))
+    gone = audit.filter("audit_id % 11 = 0").withColumn("doc", F.concat("doc", F.lit("#gone")))
+    return sections.audit_mismatches(wrong.unionByName(gone), _read(spark, sf_dir, "parsed"))
 
 
 _LINE_ENDS = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
@@ -223,7 +244,16 @@ _UNDER = r"^ {0,3}(=+|-+)\s*$"
 _LINES = rf"""texts AS (SELECT DISTINCT id, regexp_replace(text, '{_LINE_ENDS}', chr(10), 'g') AS text FROM parsed),
 raw AS (SELECT id, generate_subscripts(l, 1) AS k, unnest(l) AS line FROM (SELECT id, string_split(text, chr(10)) AS l FROM texts)),
 lines AS (SELECT id, k, line, regexp_extract(line, '^ {{0,3}}(`{{3,}}|~{{3,}})', 1) AS mark, regexp_matches(line, '^ {{0,3}}(`{{3,}}|~{{3,}})\s*$') AS bare, regexp_replace(line, '{_WS}+', '', 'g') = '' AS blank,
-regexp_extract(line, '^ {{0,3}}(#{{1,6}})[ \t]+(.+?)\s*#*\s*$', 1) AS atx, lead(line) OVER (PARTITION BY id ORDER BY k) AS following FROM raw)"""
+regexp_extract(line, '^ {{0,3}}(#{{1,6}})[ \t]+(.+?)\s*#*\s*$', 1) AS atx, regexp_extract(line, '^ {{0,3}}(#{{1,6}})[ \t]+(.+?)\s*#*\s*$', 2) AS name, lead(line) OVER (PARTITION BY id ORDER BY k) AS following FROM raw)"""
+
+
+def _title(raw: str) -> str:
+    """SQL of a heading text without emphasis and inline tags."""
+    plain = rf"regexp_replace(regexp_replace({raw}, '\*\*|`|</?(?:span|em|strong|b|i)(?:\s[^>]*)?>', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g')"
+    return rf"regexp_replace({plain}, '^\*(.+)\*$', '\1')"
+
+
+_STACK = ", ".join(f"last_value(CASE WHEN level <= {k} THEN struct_pack(v := CASE WHEN level = {k} THEN title END) END IGNORE NULLS) OVER w AS c{k}" for k in range(1, 7))
 
 
 def _same_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,12 +269,14 @@ scan AS (SELECT id, 0::BIGINT AS k, 1::BIGINT AS next, '' AS run, 0 AS level FRO
 UNION ALL SELECT s.id, l.k, l.k + CASE WHEN s.run = '' AND under THEN 2 ELSE 1 END, CASE WHEN s.run = '' AND under THEN '' WHEN s.run = '' THEN l.mark WHEN starts_with(l.mark, s.run) AND l.mark <> '' AND l.bare THEN '' ELSE s.run END,
 CASE WHEN s.run <> '' THEN 0 WHEN l.atx <> '' THEN length(l.atx) WHEN under THEN CASE WHEN ltrim(l.following) LIKE '=%' THEN 1 ELSE 2 END ELSE 0 END
 FROM scan s JOIN (SELECT *, coalesce(NOT blank AND regexp_matches(following, '{_UNDER}') AND NOT starts_with(line, '    ') AND NOT starts_with(line, chr(9)), false) AS under FROM lines) l ON l.id = s.id AND l.k = s.next),
-parts AS (SELECT r.id, r.k, r.line, sum(CASE WHEN s.level > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY r.id ORDER BY r.k) AS part, max(CASE WHEN s.level > 0 THEN r.k END) OVER (PARTITION BY r.id ORDER BY r.k) AS head, sum(length(r.line) + 1) OVER (PARTITION BY r.id ORDER BY r.k) - length(r.line) - 1 AS pos
-FROM raw r LEFT JOIN scan s ON s.id = r.id AND s.k = r.k),
-sections AS (SELECT id, part, min(pos) AS start, trim(string_agg(line, chr(10) ORDER BY k), chr(10)) AS text FROM parts GROUP BY id, part)
-SELECT id, row_number() OVER (PARTITION BY id ORDER BY part) - 1 AS section_no, start, text FROM sections WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''""")
+parts AS (SELECT r.id, r.k, r.line, sum(CASE WHEN s.level > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY r.id ORDER BY r.k) AS part, CASE WHEN s.level > 0 THEN s.level END AS level, CASE WHEN r.atx <> '' THEN {_title("r.name")} ELSE {_title("r.line")} END AS title, sum(length(r.line) + 1) OVER (PARTITION BY r.id ORDER BY r.k) - length(r.line) - 1 AS pos
+FROM lines r LEFT JOIN scan s ON s.id = r.id AND s.k = r.k),
+sections AS (SELECT id, part, min(pos) AS start, max(pos + length(line) + 1) AS last, max(level) AS level, max(title) FILTER (WHERE level > 0) AS title, trim(string_agg(line, chr(10) ORDER BY k), chr(10)) AS text FROM parts GROUP BY id, part),
+carried AS (SELECT *, {_STACK}, lead(start) OVER (PARTITION BY id ORDER BY part) AS following FROM sections WINDOW w AS (PARTITION BY id ORDER BY part ROWS UNBOUNDED PRECEDING))
+SELECT c.id, row_number() OVER (PARTITION BY c.id ORDER BY part) - 1 AS section_no, start, coalesce(following, length(t.text)) AS stop, {' || '.join(f"coalesce(c{k}.v || '>', '')" for k in range(1, 7))} AS headings, c.text FROM carried c JOIN texts t ON t.id = c.id WHERE regexp_replace(c.text, '{_WS}+', '', 'g') <> ''""")
 def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.split_texts(_same_line_ends(spark, sf_dir)).select("id", "section_no", "start", "text")
+    joined = F.array_join(F.transform("headings", lambda h: F.concat(h, F.lit(">"))), "")
+    return sections.split_texts(_same_line_ends(spark, sf_dir)).select("id", "section_no", "start", F.col("end").alias("stop"), joined.alias("headings"), "text")
 
 
 @query(rf"""WITH RECURSIVE {_LINES},
@@ -265,7 +297,7 @@ scan AS (SELECT id, 0::BIGINT AS k, '' AS run FROM (SELECT DISTINCT id FROM pars
 SELECT s.id, m.k, CASE WHEN s.run = '' THEN m.mark WHEN starts_with(m.mark, s.run) AND m.bare THEN '' ELSE s.run END FROM scan s JOIN marks m ON m.id = s.id AND m.k = s.k + 1)
 SELECT id, arg_max(run, k) AS run FROM scan GROUP BY id""")
 def fence_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "parsed").select("id", "text").distinct().select("id", ex.fence_run_after(F.col("text")).alias("run"))
+    return each(_read(spark, sf_dir, "parsed").select("id", "text").distinct(), lambda text: (markdown.open_fence(text) or markdown.Fence("", "")).run, ["text"], "run", T.StringType())
 
 
 @query(rf"""SELECT id, sum(length(text) + 2) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - length(text) - 2 AS "begin", length(text) AS length FROM {_ONCE} WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''""")
@@ -279,15 +311,16 @@ SELECT u.doc_id, u.k, CASE WHEN p.open + 2 + u.n <= 600 THEN p.open + 2 + u.n EL
 groups AS (SELECT doc_id, grp, max_by(open, k) AS size FROM pack GROUP BY ALL)
 SELECT doc_id, array_to_string(list(size ORDER BY grp), ',') AS sizes FROM groups GROUP BY doc_id""")
 def greedy_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lengths = F.transform(F.filter(F.split("text", "\n"), lambda line: line != ""), F.length)
-    docs = _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", lengths.alias("lengths")).filter(F.size("lengths") > 0)
-    return docs.select("doc_id", F.array_join(ex.greedy_groups(F.col("lengths"), 600).cast("array<string>"), ",").alias("sizes"))
+    """Lines of a text as units; one that is too long stands alone."""
+    docs = _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.filter(F.split("text", "\n"), lambda line: line != "").alias("lines")).filter(F.size("lines") > 0)
+    packed = lambda lines: chunking.filled(lines, "\n\n".join, lambda body: len(body) <= 600, lambda line: iter([line]))
+    return each(docs, lambda lines: ",".join(str(len(body)) for body in packed(lines)), ["lines"], "sizes", T.StringType())
 
 
 @query("""SELECT id, array_to_string(list_concat([metadata.title], CASE WHEN len(metadata.headings) > 0 AND metadata.headings[1] = metadata.title THEN metadata.headings[2:] ELSE metadata.headings END), ' > ') AS header FROM chunks WHERE metadata.title IS NOT NULL AND metadata.headings IS NOT NULL""")
 def chunk_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "chunks").filter("metadata.title IS NOT NULL AND metadata.headings IS NOT NULL")
-    return rows.select("id", ex.chunk_header(F.col("metadata.title"), F.col("metadata.headings")).alias("header"))
+    return each(rows.select("id", F.col("metadata.title").alias("title"), F.col("metadata.headings").alias("headings")), chunking.header_text, ["title", "headings"], "header", T.StringType())
 
 
 @query(f"""WITH pairs AS (SELECT id, metadata.headings AS a, lag(metadata.headings) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) AS b FROM {_ONCE})
@@ -295,9 +328,9 @@ SELECT id, array_to_string(a[1:coalesce(list_position(list_transform(range(1, le
 def common_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _numbered(_read(spark, sf_dir, "parsed"), F.col("metadata.headings").alias("a"))
     # The section before, by its number: a join spreads where a window over a document would not.
-    before = rows.select("source", "doc", (F.col("n") + 1).alias("n"), F.col("a").alias("b"))
-    pairs = rows.join(before, ["source", "doc", "n"]).filter("a IS NOT NULL AND b IS NOT NULL")
-    return pairs.select("id", F.array_join(ex.common_prefix(F.array("a", "b")), "|").alias("prefix"))
+    before = rows.select("source", "doc", (F.col("i") + 1).alias("i"), F.col("a").alias("b"))
+    pairs = rows.join(before, ["source", "doc", "i"]).filter("a IS NOT NULL AND b IS NOT NULL").select("id", F.array("a", "b").alias("lists"))
+    return each(pairs, chunking.shared_prefix, ["lists"], "prefix", T.ArrayType(T.StringType())).select("id", F.array_join("prefix", "|").alias("prefix"))
 
 
 def _flat_chunks(chunks: DataFrame) -> DataFrame:
@@ -345,9 +378,10 @@ def vector_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "points").select("vec_id", F.coalesce(ex.vector_problem(F.col("vector"), 64), F.lit("ok")).alias("state"))
 
 
-@query("SELECT doc_id, 'Instruct: Find the page.' || chr(10) || 'Query: ' || text AS prompt FROM documents WHERE text IS NOT NULL")
+@query(rf"SELECT doc_id, 'Instruct: Find the page.' || chr(10) || 'Query: ' || text AS prompt FROM documents WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''")
 def query_template(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", ex.query_text(F.col("text"), "Find the page.").alias("prompt"))
+    documents = _read(spark, sf_dir, "documents").filter(~ex.is_blank(F.coalesce("text", F.lit(""))))
+    return each(documents.select("doc_id", "text"), lambda text: embedding.query_prompt(text, "Find the page."), ["text"], "prompt", T.StringType())
 
 
 @query("""SELECT DISTINCT id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS point_id
@@ -372,10 +406,7 @@ def payload_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT indexed, expected, indexed = expected AS complete FROM (SELECT count(DISTINCT chunk_id) AS indexed FROM points), (SELECT count(DISTINCT id) AS expected FROM chunks)")
 def complete_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    indexed = _read(spark, sf_dir, "points").agg(F.countDistinct("chunk_id").alias("n")).select(F.lit("indexed").alias("side"), "n")
-    expected = _read(spark, sf_dir, "chunks").agg(F.countDistinct("id").alias("n")).select(F.lit("expected").alias("side"), "n")
-    both = indexed.unionByName(expected).agg(F.max(F.when(F.col("side") == "indexed", F.col("n"))).alias("indexed"), F.max(F.when(F.col("side") == "expected", F.col("n"))).alias("expected"))
-    return both.select("indexed", "expected", (F.col("indexed") == F.col("expected")).alias("complete"))
+    return vindex.completeness(_read(spark, sf_dir, "points"), _read(spark, sf_dir, "chunks"), "chunk_id")
 
 
 # ---- retrieval

@@ -7,6 +7,9 @@ from dataclasses import asdict, dataclass, field, fields
 from pathlib import Path, PurePosixPath
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from docmill.functions.expressions import document_url
 
 # Formats and the suffixes they read (None: every file).
 FORMATS = {"html": (".html",), "markdown": (".md",), "pdf": (".pdf",), "code": (".cpp", ".hpp", ".opts")}
@@ -74,6 +77,18 @@ def select_sources(sources: list[Source], names: list[str] | None) -> list[Sourc
     return [known[n] for n in dict.fromkeys(names)]
 
 
+def addressed(documents: DataFrame, sources: list[Source]) -> DataFrame:
+    """``documents`` (``source, doc``, others kept) with ``url``, null where the source is not among ``sources``.
+
+    The table of sources has ``MAX_SOURCES`` rows at most and is broadcast.
+    """
+    if len(sources) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    templates = documents.sparkSession.createDataFrame([(s.name, s.url) for s in sources], "source string, template string")
+    joined = documents.drop("url").join(F.broadcast(templates.dropDuplicates(["source"])), "source", "left")
+    return joined.withColumn("url", document_url(F.col("template"), F.col("doc"))).drop("template")
+
+
 def document_address(template: str, doc: str) -> str:
     """``template`` with the path of ``doc`` or its directory-style address."""
     path = PurePosixPath(doc)

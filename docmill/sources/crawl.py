@@ -6,6 +6,7 @@ on tables of listings and needs no network.
 
 from __future__ import annotations
 
+import time
 import urllib.request
 from collections.abc import Callable, Iterator
 
@@ -17,16 +18,22 @@ from docmill.functions.expressions import keeps_reference_page, links_in
 
 Fetcher = Callable[[str], bytes]
 # Parallel transfers, seconds to connect and in all, retries.
-PARALLEL, TIMEOUT, RETRIES = 16, 180, 3
+PARALLEL, CONNECT, TIMEOUT, RETRIES = 16, 20, 180, 3
 TREE = "struct<sha:string,truncated:boolean,tree:array<struct<path:string,type:string>>>"
 
 
 def fetch_url(url: str) -> bytes:
-    """Read a URL, trying again on failure."""
+    """Read a URL, trying again on failure; a transfer may stall for ``CONNECT`` seconds and last ``TIMEOUT``."""
     for attempt in range(RETRIES + 1):
         try:
-            with urllib.request.urlopen(url, timeout=TIMEOUT) as answer:  # noqa: S310
-                return answer.read()
+            until = time.monotonic() + TIMEOUT
+            with urllib.request.urlopen(url, timeout=CONNECT) as answer:  # noqa: S310
+                parts = []
+                while part := answer.read(1 << 16):
+                    parts.append(part)
+                    if time.monotonic() > until:
+                        raise TimeoutError(f"{url}: more than {TIMEOUT} seconds")
+                return b"".join(parts)
         except OSError:
             if attempt == RETRIES:
                 raise
@@ -53,7 +60,9 @@ def tree_files(listing: DataFrame, prefixes: list[str], suffixes: list[str], raw
     end = F.lit(False)
     for suffix in suffixes:
         end = end | F.col("path").endswith(suffix)
-    return paths.filter(start & end).select("path", F.concat(F.lit(raw_base.rstrip("/") + "/"), "sha", F.lit("/"), "path").alias("url"))
+    chosen = paths.filter(start & end).select("path", F.concat(F.lit(raw_base.rstrip("/") + "/"), "sha", F.lit("/"), "path").alias("url"))
+    nothing = F.when(F.count(F.lit(1)) == 0, F.raise_error(F.lit("no file of the repository listing was chosen")))
+    return chosen.unionByName(chosen.agg(nothing.alias("path")).filter("path IS NOT NULL").select(F.col("path").cast("string").alias("path"), F.lit(None).cast("string").alias("url")))
 
 
 def listed_files(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
@@ -61,6 +70,26 @@ def listed_files(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
     return spark.createDataFrame([(p, base + p) for p in paths], "path string, url string")
 
 
+def listed(spark: SparkSession, wanted: dict, fetch: Fetcher = fetch_url) -> DataFrame:
+    """``(path, url)`` of what one entry of a crawl file asks for.
+
+    ``kind`` is ``index`` (reference pages that the page at ``url`` links to),
+    ``tree`` (files of the repository listings at ``urls`` under ``prefixes``
+    with ``suffixes``, to be had below ``raw``) or ``files`` (``paths`` below
+    ``base``; a single PDF is such a list).
+    """
+    kind = wanted.get("kind")
+    if kind == "index":
+        page = spark.createDataFrame([(fetch(wanted["url"]).decode("utf-8", "replace"),)], "html string")
+        return listed_pages(page, wanted["url"].rpartition("/")[0]).withColumnRenamed("page", "path")
+    if kind == "tree":
+        listing = spark.createDataFrame([(fetch(url).decode("utf-8"),) for url in wanted["urls"]], "json string")
+        return tree_files(listing, wanted["prefixes"], wanted["suffixes"], wanted["raw"])
+    if kind == "files":
+        return listed_files(spark, wanted["base"], wanted["paths"])
+    raise ValueError(f"unknown kind of crawl {kind!r}")
+
+
 def download(urls: DataFrame, fetch: Fetcher = fetch_url, parallel: int = PARALLEL) -> DataFrame:
     """``(path, url, content, fetched_on)`` of every row; any failure fails the job, so no corpus is silently short.
 

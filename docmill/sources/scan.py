@@ -19,6 +19,40 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def _missing(spark: SparkSession, source: Source, full: str) -> DataFrame:
+    """Audit row of an optional source that is not there; a required one raises."""
+    if not source.optional:
+        raise FileNotFoundError(f"{source.name}: missing source: {full}")
+    warnings.warn(f"{source.name}: optional source missing: {full}", stacklevel=3)
+    return spark.createDataFrame([(source.name, None, "missing_optional", 0, False, None, None, None)], AUDIT)
+
+
+PAGES = "source string, doc string, sha256 string, title string, page int, text string"
+
+
+def scan_pages(spark: SparkSession, source: Source, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``(pages, audit)`` of a paged source whose page texts (or positioned lines) are a Parquet table in ``folder``.
+
+    Documents that the source excludes are left out and audited. A missing
+    table, or one without pages, raises unless the source is optional.
+    """
+    fs, path = _filesystem(spark, folder)
+    if not fs.exists(path):
+        return spark.createDataFrame([], PAGES), _missing(spark, source, folder)
+    matched = spark.read.parquet(folder).withColumn("source", F.lit(source.name)).withColumn("__patterns", matching_globs(F.col("doc"), source.exclude))
+    kept = matched.filter(F.size("__patterns") == 0).drop("__patterns")
+    if not source.optional and kept.select("doc").isEmpty():
+        raise FileNotFoundError(f"{source.name}: no pages under {folder}")
+    return kept, _excluded(matched.filter(F.size("__patterns") > 0).select("source", "doc", F.col("__patterns").alias("patterns")).distinct())
+
+
+def _excluded(rows: DataFrame) -> DataFrame:
+    """Audit rows of excluded documents ``(source, doc, patterns)``."""
+    return rows.select(
+        "source", "doc", F.lit("excluded").alias("status"), F.lit(0).alias("sections"), F.lit(False).alias("empty"), F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("int").alias("replacement_characters"), "patterns"
+    )
+
+
 def scan_source(spark: SparkSession, source: Source, root: str) -> tuple[DataFrame, DataFrame]:
     """``(documents, audit)`` of one source.
 
@@ -32,11 +66,7 @@ def scan_source(spark: SparkSession, source: Source, root: str) -> tuple[DataFra
     full = source.path if urlparse(source.path).scheme or source.path.startswith("/") else f"{root.rstrip('/')}/{source.path}"
     fs, path = _filesystem(spark, full)
     if not fs.exists(path):
-        if not source.optional:
-            raise FileNotFoundError(f"{source.name}: missing source: {full}")
-        warnings.warn(f"{source.name}: optional source missing: {full}", stacklevel=2)
-        empty = spark.createDataFrame([], "source string, doc string, content binary")
-        return empty, spark.createDataFrame([(source.name, None, "missing_optional", 0, False, None, None, None)], AUDIT)
+        return spark.createDataFrame([], "source string, doc string, content binary"), _missing(spark, source, full)
     base = fs.resolvePath(path).toUri().getPath()
     single = fs.getFileStatus(path).isFile()
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(full)
@@ -48,10 +78,7 @@ def scan_source(spark: SparkSession, source: Source, root: str) -> tuple[DataFra
         named = named.filter(F.col("doc").rlike(rf"({suffixes})$"))
     matched = named.withColumn("patterns", matching_globs(F.col("doc"), source.exclude))
     kept = matched.filter(F.size("patterns") == 0).select(F.lit(source.name).alias("source"), "doc", "content")
-    excluded = matched.filter(F.size("patterns") > 0).select(
-        F.lit(source.name).alias("source"), "doc", F.lit("excluded").alias("status"), F.lit(0).alias("sections"), F.lit(False).alias("empty"),
-        F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("int").alias("replacement_characters"), "patterns",
-    )
+    excluded = _excluded(matched.filter(F.size("patterns") > 0).select(F.lit(source.name).alias("source"), "doc", "patterns"))
     if not source.optional and kept.drop("content").isEmpty():
         raise FileNotFoundError(f"{source.name}: no {source.format} files under {full}")
     return kept, excluded

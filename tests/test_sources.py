@@ -2,13 +2,16 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docmill.cli import build_parser, run
 from docmill.functions import expressions as ex
 from docmill.functions import html, markdown
+from docmill.functions.text import each
 from docmill.operators.sections import code_markdown
-from docmill.sources.config import document_address, read_sources, select_sources
-from docmill.sources.crawl import corpus_size, download, listed_files, listed_pages, provenance, tree_files
+from docmill.sources.config import Source, document_address, read_sources, select_sources
+from docmill.sources.crawl import corpus_size, download, fetch_url, listed, listed_files, listed_pages, provenance, tree_files
+from docmill.sources.scan import scan_pages
 
 
 def texts(spark, values):
@@ -28,11 +31,7 @@ def noise(n, alphabet, seed, most=30):
 
 def test_native_expressions_equal_the_kernels(spark):
     t = F.col("t")
-    both(spark, noise(400, "a (), \n\tb ", 1), ex.one_line(t), html.one_line)
-    both(spark, noise(400, "a\n\r\u0085 \x0b\x1cb", 2), ex.lines_of(t), lambda s: s.splitlines())
     both(spark, noise(400, "*a`<b>/ i", 3), ex.heading_text(t), lambda s: markdown.heading_texts({1: s})[0])
-    both(spark, noise(300, "`~\n` x", 4, 40), ex.fence_run_after(t), lambda s: (markdown.open_fence(s) or markdown.Fence("", "")).run)
-    both(spark, noise(300, "`a\n", 5, 40), ex.code_document(F.lit("d.cpp"), t), lambda s: code_markdown("d.cpp", s))
     docs = ["a/b.html", "how/x.md", "index.md", "t/index.md", "dir/.hidden", "plain", "a.b/c", "x/index", "noindex.md"]
     both(spark, docs, ex.document_url(F.lit("u/{page}|{path}"), t), lambda d: document_address("u/{page}|{path}", d))
     globs = ["index.md", "event*.md", "a?c", "t/*"]
@@ -41,27 +40,11 @@ def test_native_expressions_equal_the_kernels(spark):
     both(spark, ["index.md", "event1.md", "x/event.md", "abc", "a/c", "t/u/v", ""], ex.matching_globs(t, globs), lambda d: [g for g in globs if fnmatch.fnmatchcase(d, g)])
 
 
-def test_headers_and_prefixes(spark):
-    rng = random.Random(6)
-    rows = [("T", [[rng.choice("Tab") for _ in range(rng.randint(0, 4))] for _ in range(rng.randint(1, 4))]) for _ in range(200)]
-    from docmill.operators.chunking import header_text, shared_prefix
-
-    df = spark.createDataFrame(rows, "title string, lists array<array<string>>").select("title", "lists", ex.chunk_header(F.col("title"), F.col("lists")[0]).alias("h"), ex.common_prefix(F.col("lists")).alias("p"))
-    for r in df.collect():
-        assert r.h == header_text(r.title, r.lists[0]) and r.p == shared_prefix(r.lists)
-
-
-def test_greedy_groups(spark):
-    rng = random.Random(7)
-    rows = [([rng.randint(1, 30) for _ in range(rng.randint(0, 20))],) for _ in range(200)]
-    for r in spark.createDataFrame(rows, "l array<int>").select("l", ex.greedy_groups(F.col("l"), 50).alias("g")).collect():
-        groups = []
-        for n in r.l:
-            if groups and groups[-1] + 2 + n <= 50:
-                groups[-1] += 2 + n
-            else:
-                groups.append(n)
-        assert r.g == groups
+def test_kernels_over_a_table(spark):
+    df = spark.createDataFrame([(1, "a", ["x"]), (2, None, None)], "k int, t string, l array<string>")
+    got = {r.k: r.n for r in each(df, lambda t, items: len(t or "") + len(items or []), ["t", "l"], "n", T.LongType()).collect()}
+    assert got == {1: 2, 2: 0} and each(df.limit(0), len, ["t"], "k", T.IntegerType()).columns == ["l", "k"]
+    assert html.one_line(" f ( int a ,  b ) ") == "f(int a, b)" and code_markdown("d.hpp", "x ```` y\n\n") == "# d.hpp\n\n`````cpp\nx ```` y\n`````\n"
 
 
 def test_choosing_pages(spark):
@@ -71,6 +54,8 @@ def test_choosing_pages(spark):
     tree = '{"sha":"s1","truncated":%s,"tree":[{"path":"src/a.md"},{"path":"src/b.txt"},{"path":"doc/c.md"}]}'
     listing = lambda flag: spark.createDataFrame([(tree % flag,)], "json string")
     assert [tuple(r) for r in tree_files(listing("false"), ["src/"], [".md"], "https://r").collect()] == [("src/a.md", "https://r/s1/src/a.md")]
+    with pytest.raises(Exception, match="no file"):
+        tree_files(listing("false"), ["none/"], [".md"], "https://r").collect()
     with pytest.raises(Exception, match="truncated"):
         tree_files(listing("true"), ["src/"], [".md"], "https://r").collect()
 
@@ -90,6 +75,73 @@ def test_download(spark):
         download(urls, fail).collect()
 
 
+CRAWL = """
+[[crawl]]
+name = "api"
+kind = "index"
+url = "https://d.org/html/annotated.html"
+about = "source: d.org\\n"
+[[crawl]]
+name = "guide"
+kind = "tree"
+urls = ["https://d.org/tree.json"]
+prefixes = ["src/"]
+suffixes = [".md"]
+raw = "https://raw.d.org"
+[[crawl]]
+name = "pdf"
+kind = "files"
+base = "https://d.org/"
+paths = ["manual.pdf"]
+"""
+
+
+def test_crawl_builds_its_lists(spark, tmp_path):
+    (tmp_path / "crawl.toml").write_text(CRAWL)
+    web = {
+        "https://d.org/html/annotated.html": '<a href="classA.html"><a href="index.html">', "https://d.org/html/classA.html": "A", "https://d.org/manual.pdf": "%PDF",
+        "https://d.org/tree.json": '{"sha":"s","truncated":false,"tree":[{"path":"src/a.md"},{"path":"doc/b.md"}]}', "https://raw.d.org/s/src/a.md": "# A",
+    }
+    call = lambda *args: run(build_parser().parse_args(["--root", str(tmp_path), "crawl", *args]), spark, lambda url: web[url].encode())
+    assert call().split("\n") == ["api: 1 files, 0.0 MB", "guide: 1 files, 0.0 MB", "pdf: 1 files, 0.0 MB"]
+    assert {r.path: bytes(r.content) for r in spark.read.parquet(f"{tmp_path}/data/raw/guide").collect()} == {"src/a.md": b"# A"}
+    assert (tmp_path / "data/raw/api.SOURCE.txt").read_text().startswith("source: d.org\nfetched: ")
+    assert call("--source", "pdf").startswith("pdf")
+    with pytest.raises(ValueError, match="unknown"):
+        call("--source", "none")
+    with pytest.raises(ValueError, match="kind"):
+        listed(spark, {"kind": "else"})
+
+
+def test_transfers_are_tried_again(monkeypatch):
+    tries = []
+
+    def broken(url, timeout):
+        tries.append(timeout)
+        raise OSError("down")
+
+    monkeypatch.setattr("urllib.request.urlopen", broken)
+    with pytest.raises(OSError):
+        fetch_url("https://x")
+    assert tries == [20] * 4
+
+
+def test_paged_sources_on_the_command_line(spark, tmp_path):
+    (tmp_path / "sources.toml").write_text('[[source]]\nname = "m"\nformat = "pdf"\npath = "m.pdf"\nurl = "https://x.org/m.pdf"\nexclude = ["old*"]\n')
+    call = lambda: run(build_parser().parse_args(["--root", str(tmp_path), "parse"]), spark)
+    with pytest.raises(FileNotFoundError, match="m: missing"):
+        call()
+    rows = [("m.pdf", "h", None, 1, "# One\ntext"), ("m.pdf", "h", None, 2, "more"), ("old.pdf", "o", None, 1, "gone")]
+    spark.createDataFrame(rows, "doc string, sha256 string, title string, page int, text string").write.parquet(f"{tmp_path}/data/pages/m")
+    assert call().startswith("m: 1 docs, 2 sections")
+    audit = {r.doc: (r.status, r.sections, r.patterns) for r in spark.read.parquet(f"{tmp_path}/data/parsed/audit").collect()}
+    assert audit == {"m.pdf": ("parsed", 2, None), "old.pdf": ("excluded", 0, ["old*"])}
+    optional = Source("n", "pdf", "n", "u", optional=True)
+    with pytest.warns(UserWarning):
+        pages, audit = scan_pages(spark, optional, f"{tmp_path}/data/pages/n")
+    assert pages.count() == 0 and audit.first().status == "missing_optional"
+
+
 def test_command_line(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw/guide.md").write_text("# Guide\n" + "The mesh is refined. " * 30 + "\n## Solver\n" + "Call the solver. " * 30)

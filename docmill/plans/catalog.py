@@ -144,6 +144,67 @@ def parse_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.sections_of(_parse(spark, sf_dir, "html", "<html><head><title>Page</title></head><body>", "</body></html>"))
 
 
+# A page and a Markdown file made for each section, with ``{A}`` for a name that follows from its id, and what conversion makes of them.
+_PAGE = (
+    '<html><head><title> Page  of {A} </title></head><body><div class="nav">menu</div><div id="main"><h2 id="s7">About <em>{A}</em></h2><p>See <a href="../b/c.html#q">the page</a> and <img alt="figure {A}" src="x.png"/>.</p>'
+    '<p class="hidden">gone</p><ul><li>first {A}</li><li>second</li></ul><div class="signature"><table><tr><td>void</td><td>f</td><td>(</td><td>int a</td><td>,</td><td>{A} &amp; b</td><td>)</td></tr></table></div>'
+    '<div class="fragment"><div class="line"><span class="lineno">1</span>int {A};</div><div class="line"><span class="lineno">2</span>int&#160;b;</div></div>'
+    '<a name="t7"></a><h3>Next</h3><p>Text <code>x_y</code> <b>{A}</b>.</p><table><tr><th>k</th><th>v</th></tr><tr><td>1</td><td>{A}</td></tr></table></div></body></html>'
+)
+_PAGE_SECTIONS = (
+    "## About *{A}*\n\nSee [the page](https://docs.example/b/c.html#q) and figure {A}.\n\n* first {A}\n* second\n\n```\nvoid f(int a, {A} & b)\n```\n\n```\nint {A};\nint b;\n```",
+    "### Next\n\nText `x_y` **{A}**.\n\n| k | v |\n| --- | --- |\n| 1 | {A} |",
+)
+_FILE = "Intro of {A}\r\n\n# Guide *to* {A}\n\nSee [b](b.md#q), ![fig](f.md) and `[c](c.md) <b>`; <b>bold {A}</b> <a href='d.md'>d</a>.\n\n```md\n[no](x.md) <i>{A}</i>\n```\n\nNext {A}\n---\n\n- [up](../up/index.md) and [out](https://o.example/x.md)\n\n## Empty\n"
+_FILE_SECTIONS = (
+    "Intro of {A}",
+    "# Guide *to* {A}\n\nSee [b](https://docs.example/how/b/#q), ![fig](f.md) and `[c](c.md) <b>`; **bold {A}** [d](https://docs.example/how/d/).\n\n```md\n[no](x.md) <i>{A}</i>\n```",
+    "Next {A}\n---\n\n- [up](https://docs.example/up/) and [out](https://o.example/x.md)",
+)
+
+
+def _sql(text: str) -> str:
+    """A literal of the SQL engine with the name of a row in place of ``{A}``."""
+    quoted = text.replace("'", "''").replace("\r", "' || chr(13) || '").replace("\n", "' || chr(10) || '")
+    return f"replace('{quoted}', '{{A}}', a)"
+
+
+_NAMES = "(SELECT DISTINCT substr(md5(id), 1, 8) AS a FROM parsed)"
+
+
+def _made(spark: SparkSession, sf_dir: str, template: str, doc: str, source: Source) -> DataFrame:
+    """Sections of one document per section id, made from a template."""
+    names = _read(spark, sf_dir, "parsed").select(F.substring(F.md5("id"), 1, 8).alias("a")).distinct()
+    fill = lambda text: F.replace(F.lit(text), F.lit("{A}"), F.col("a"))
+    documents = names.select(F.lit(source.name).alias("source"), fill(doc).alias("doc"), F.encode(fill(template), "UTF-8").alias("content"))
+    m = F.col("metadata")
+    rows = sections.sections_of(sections.parse_documents(documents, [source]))
+    return rows.select("id", "text", m["title"].alias("title"), F.array_join(m["headings"], "|").alias("headings"), m["url"].alias("url"), F.coalesce(m["anchor"], F.lit("")).alias("anchor"))
+
+
+@query(f"""WITH made AS (SELECT a, 'h/p/' || a || '.html@' || substr(sha256({_sql(_PAGE)}), 1, 16) || '#' AS document, 'https://docs.example/p/' || a || '.html#' AS address FROM {_NAMES})
+SELECT document || 's7:0' AS id, {_sql(_PAGE_SECTIONS[0])} AS text, 'Page  of ' || a AS title, 'About *' || a || '*' AS headings, address || 's7' AS url, 's7' AS anchor FROM made
+UNION ALL SELECT document || 't7:1', {_sql(_PAGE_SECTIONS[1])}, 'Page  of ' || a, 'About *' || a || '*|Next', address || 't7', 't7' FROM made""")
+def html_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region, dropped and flattened parts, listings, anchors, links, images and tables of a page."""
+    return _made(spark, sf_dir, _PAGE, "p/{A}.html", Source("h", "html", ".", "https://docs.example/{path}", content="#main", drop=["p.hidden"], flatten=[".signature"]))
+
+
+_FILE_KEYS = [
+    f"substr(sha256('{{\"headings\": [' || {heads} || '], \"page\": null, \"text\": \"' || replace(replace(replace({_sql(text)}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n') || '\"}}'), 1, 16)"
+    for text, heads in zip(_FILE_SECTIONS, ("''", "'\"Guide *to* ' || a || '\"'", "'\"Guide *to* ' || a || '\", \"Next ' || a || '\"'"))
+]
+
+
+@query(f"""WITH made AS (SELECT a, 'm/how/' || a || '.md@' || substr(sha256({_sql(_FILE)}), 1, 16) || '#' AS document, 'https://docs.example/how/' || a || '/' AS url, 'Guide *to* ' || a AS title FROM {_NAMES})
+SELECT document || {_FILE_KEYS[0]} || ':0' AS id, {_sql(_FILE_SECTIONS[0])} AS text, title, '' AS headings, url, '' AS anchor FROM made
+UNION ALL SELECT document || {_FILE_KEYS[1]} || ':1', {_sql(_FILE_SECTIONS[1])}, title, title, url, '' FROM made
+UNION ALL SELECT document || {_FILE_KEYS[2]} || ':2', {_sql(_FILE_SECTIONS[2])}, title, title || '|Next ' || a, url, '' FROM made""")
+def markdown_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code that stays, embedded HTML, links of a directory-style site, two kinds of headings and a section without body."""
+    return _made(spark, sf_dir, _FILE, "how/{A}.md", Source("m", "markdown", ".", "https://docs.example/{page}"))
+
+
 @query("SELECT doc, 'parsed' AS status, sha AS sha256, n AS replacement_characters FROM (SELECT id || '.cpp' AS doc, sha256(text) AS sha, length(text) - length(replace(text, chr(65533), '')) AS n FROM parsed)")
 def parse_code_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.audit_of(_parse(spark, sf_dir, "code")).select("doc", "status", "sha256", "replacement_characters")
@@ -348,6 +409,60 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_chunks(chunking.chunk_recursive(_read(spark, sf_dir, "parsed")))
 
 
+_HEADER = "array_to_string(list_concat([coalesce({title}, '')], CASE WHEN len({heads}) > 0 AND {heads}[1] = {title} THEN {heads}[2:] ELSE {heads} END), ' > ')"
+_PREFIX = "{a}[1:coalesce(list_position(list_transform(range(1, least(len({a}), len({b})) + 1), lambda k: {a}[k] IS DISTINCT FROM {b}[k]), true) - 1, least(len({a}), len({b})))]"
+
+
+@query(f"""WITH RECURSIVE base AS (SELECT id, source, doc, metadata.title AS title, coalesce(metadata.headings, []) AS h, 'About ' || id AS t, row_number() OVER (PARTITION BY source, doc ORDER BY {_ORDER}) AS n FROM {_ONCE} WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''),
+fold AS (SELECT source, doc, n, 1 AS grp, length(t) AS body, h AS shared, h AS last, title FROM base WHERE n = 1
+UNION ALL SELECT source, doc, n, CASE WHEN joins THEN grp ELSE grp + 1 END, CASE WHEN joins THEN body + 2 ELSE 0 END + length(t), CASE WHEN joins THEN common ELSE h END, h, CASE WHEN joins THEN title ELSE own END
+FROM (SELECT *, (last = h OR (len(last) >= 2 AND len(h) >= 2 AND last[1:len(last) - 1] = h[1:len(h) - 1])) AND body < 300 AND length({_HEADER.format(title="title", heads="common")}) + body + length(t) + 4 <= 1200 AS joins
+FROM (SELECT b.source, b.doc, b.n, b.h, b.t, b.title AS own, f.grp, f.body, f.last, f.title, {_PREFIX.format(a="f.shared", b="b.h")} AS common FROM fold f JOIN base b ON b.source = f.source AND b.doc = f.doc AND b.n = f.n + 1))),
+groups AS (SELECT f.source, f.doc, f.grp, arg_max(f.shared, f.n) AS shared, any_value(f.title) AS title, string_agg(b.t, chr(10) || chr(10) ORDER BY f.n) AS body, string_agg(b.id, '|' ORDER BY f.n) AS sections FROM fold f JOIN base b ON b.source = f.source AND b.doc = f.doc AND b.n = f.n GROUP BY f.source, f.doc, f.grp)
+SELECT source || '/' || doc || '#' || (grp - 1) AS chunk, {_HEADER.format(title="title", heads="shared")} || chr(10) || chr(10) || body AS text, sections FROM groups""")
+def chunk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every section with a short text of its own, so that sections are merged and none is cut."""
+    parsed = _read(spark, sf_dir, "parsed")
+    short = parsed.withColumn("text", F.when(~ex.is_blank(F.col("text")), F.concat(F.lit("About "), "id")))
+    chunks = chunking.chunk_structured(short)
+    m = F.col("metadata")
+    return chunks.select(F.regexp_extract("id", "^[^:]*:[^:]*:(.*)$", 1).alias("chunk"), "text", F.array_join(m["sections"], "|").alias("sections"))
+
+
+@query("""WITH docs AS (SELECT DISTINCT id, length(text) % 700 + 1 AS n FROM parsed),
+chunks AS (SELECT id, n, j, 1 + 175 * j AS first, least(n, 200 + 175 * j) AS last FROM docs, range(0, 5) t(j) WHERE j = 0 OR 200 + 175 * (j - 1) < n)
+SELECT id || '#' || j AS chunk, array_to_string(list_transform(range(first, last + 1), lambda k: CASE WHEN k > 1 THEN ' ' ELSE '' END || 'w' || lpad(k::VARCHAR, 4, '0')), '') AS text, id AS section, greatest(6 * first - 7, 0) AS span_start, 6 * last - 1 AS span_end FROM chunks""")
+def chunk_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every section as a document of numbered words of five letters, cut recursively with overlap: 200 words fit, 25 are repeated."""
+    rows = _read(spark, sf_dir, "parsed").filter("text IS NOT NULL").select("id", F.length("text").alias("n"), "metadata")
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.col("n") % 700 + 1), lambda k: F.concat(F.lit("w"), F.lpad(k.cast("string"), 4, "0"))), " ")
+    made = rows.select("id", words.alias("text"), F.col("metadata").withField("doc", F.col("id")).withField("source", F.lit("s")).alias("metadata"))
+    each_chunk = chunking.chunk_recursive(made).select(F.regexp_extract("id", "^[^:]*:[^:]*:s/(.*)$", 1).alias("chunk"), "text", F.explode("metadata.locations").alias("l"))
+    return each_chunk.select("chunk", "text", F.col("l.section_id").alias("section"), F.get("l.section_span", F.lit(0)).alias("span_start"), F.get("l.section_span", F.lit(1)).alias("span_end"))
+
+
+_FRAMES = {"code": ("```c", "```", "int v{k} = {k};"), "table": ("| key | square |\n| --- | --- |", "", "| {k} | {kk} |")}
+
+
+def _framed(kind: str, rows: int) -> str:
+    head, foot, row = _FRAMES[kind]
+    return "\n".join(filter(None, [head, *(row.format(k=k, kk=k * k) for k in range(1, rows + 1)), foot]))
+
+
+@query("""WITH RECURSIVE lines AS (SELECT 'code' AS kind, k, 'int v' || k || ' = ' || k || ';' AS line, 4 + 1 + 1 + 3 AS frame FROM range(1, 121) t(k) UNION ALL SELECT 'table', k, '| ' || k || ' | ' || (k * k) || ' |', 16 + 1 + 13 + 1 FROM range(1, 121) t(k)),
+fold AS (SELECT kind, k, 0 AS piece, frame + length(line) AS open FROM lines WHERE k = 1
+UNION ALL SELECT l.kind, l.k, CASE WHEN f.open + 1 + length(l.line) <= 100 THEN f.piece ELSE f.piece + 1 END, CASE WHEN f.open + 1 + length(l.line) <= 100 THEN f.open + 1 ELSE l.frame END + length(l.line) FROM fold f JOIN lines l ON l.kind = f.kind AND l.k = f.k + 1),
+texts AS (SELECT DISTINCT id, length(text) % 120 + 1 AS n FROM parsed)
+SELECT t.id, l.kind, f.piece, CASE WHEN l.kind = 'code' THEN '```c' ELSE '| key | square |' || chr(10) || '| --- | --- |' END || chr(10) || string_agg(l.line, chr(10) ORDER BY l.k) || CASE WHEN l.kind = 'code' THEN chr(10) || '```' ELSE '' END AS text
+FROM texts t JOIN lines l ON l.k <= t.n JOIN fold f ON f.kind = l.kind AND f.k = l.k GROUP BY t.id, l.kind, f.piece""")
+def block_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing and a table of as many rows as the length of each text gives, cut into pieces of 100 characters."""
+    rows = _read(spark, sf_dir, "parsed").select("id", (F.length("text") % 120 + 1).alias("n")).distinct().filter("n IS NOT NULL")
+    both = rows.select("id", "n", F.explode(F.array(*map(F.lit, _FRAMES))).alias("kind")).withColumn("k", F.col("kind"))
+    cut = each(both, lambda kind, n: chunking.pack_text(_framed(kind, n), 100), ["k", "n"], "pieces", T.ArrayType(T.StringType()))
+    return cut.select("id", "kind", F.posexplode("pieces").alias("piece", "text"))
+
+
 @query(rf"""WITH flat AS (SELECT source, doc, id, length(text) AS length, sum(length(text) + 2) OVER (PARTITION BY source, doc ORDER BY {_ORDER}) - length(text) - 2 AS begin FROM {_ONCE} WHERE regexp_replace(text, '{_WS}+', '', 'g') <> ''),
 pieces AS (SELECT source, doc, piece, piece * 1000 - CASE WHEN piece > 0 THEN 100 ELSE 0 END AS start, piece * 1000 + 1000 AS stop FROM (SELECT source, doc, unnest(range(0, (sum(length + 2) // 1000)::BIGINT + 1)) AS piece FROM flat GROUP BY source, doc))
 SELECT p.piece, s.id, greatest(0, p.start - s.begin) AS span_start, least(s.length, p.stop - s.begin) AS span_end FROM pieces p JOIN flat s ON p.source = s.source AND p.doc = s.doc AND s.begin < p.stop AND s.begin + s.length > p.start""")

@@ -151,9 +151,9 @@ class TokenCounter(dict):
             self.pairs[key] = known
         return known
 
-    def exact(self, data: bytes) -> list[int]:
-        """The BPE encoding of one piece, in time linear in its length."""
-        greedy = self.longest_match(data)
+    def exact(self, data: bytes, greedy: list[int] | None = None) -> list[int]:
+        """The BPE encoding of one piece, in time linear in its length; ``greedy`` may bring its longest match."""
+        greedy = self.longest_match(data) if greedy is None else greedy
         stable = self.stable
         if all(stable(a, b) for a, b in zip(greedy, greedy[1:])):
             return greedy
@@ -180,7 +180,8 @@ class TokenCounter(dict):
 
     def __missing__(self, piece: str) -> int:
         data = piece.encode("utf-8", "replace")
-        packed = len(self.longest_match(data)) << _SHIFT | len(self.exact(data))
+        greedy = self.longest_match(data)
+        packed = len(greedy) << _SHIFT | len(self.exact(data, greedy))
         if len(data) <= MEMO_PIECE_BYTES:
             if len(self) >= MEMO_PIECES:
                 self.clear()

@@ -92,9 +92,9 @@ def retrieve(spark: SparkSession, question: str, folder: str, provider: Embeddin
     return cited(cosine_top_k(points, vector, top_k))
 
 
-def cited(found: DataFrame) -> DataFrame:
-    """Search results in their outer form."""
-    return found.select("score", F.col("payload").alias("chunk"), citations(F.col("payload.metadata")).alias("citations"))
+def cited(found: DataFrame, *kept: str) -> DataFrame:
+    """Search results in their outer form, with columns that are ``kept``."""
+    return found.select(*kept, "score", F.col("payload").alias("chunk"), citations(F.col("payload.metadata")).alias("citations"))
 
 
 def compare_collections(spark: SparkSession, question: str, folders: list[str], provider: EmbeddingProvider, top_k: int = 5) -> DataFrame:

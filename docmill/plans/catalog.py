@@ -563,6 +563,19 @@ def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.recall_at_k(ranked, relevant, 10).select("query_id", F.round("recall", 6).alias("recall"), F.round("reciprocal_rank", 6).alias("reciprocal_rank"))
 
 
+@query("""WITH held AS (SELECT id, any_value(metadata) AS m FROM chunks WHERE id IS NOT NULL GROUP BY id),
+good AS (SELECT vec_id, chunk_id, vector::DOUBLE[] AS v FROM points WHERE len(vector) = 64 AND len(list_filter(vector, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vector, lambda x: x <> 0)) > 0),
+scored AS (SELECT g.vec_id, h.id, h.m, round(list_cosine_similarity(g.v, (SELECT v FROM good ORDER BY vec_id LIMIT 1)), 9) AS s FROM good g JOIN held h ON h.id = g.chunk_id ORDER BY s DESC, vec_id LIMIT 10)
+SELECT vec_id, id AS chunk_id, round(s, 6) AS score, array_to_string(CASE WHEN len(m.locations) > 0 THEN list_transform(m.locations, lambda x: coalesce(x.url, '')) ELSE [coalesce(m.url, '')] END, '|') AS citations FROM scored""")
+def retrieve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored vectors with the chunks they belong to as a collection; the first usable vector asks."""
+    points = _read(spark, sf_dir, "points").filter(ex.vector_problem(F.col("vector"), 64).isNull())
+    payload = _read(spark, sf_dir, "chunks").filter("id IS NOT NULL").dropDuplicates(["id"]).select(F.col("id").alias("chunk_id"), F.struct("id", "text", "body", "metadata").alias("payload"))
+    asked = points.orderBy("vec_id").select("vector").first().vector
+    found = retrieval.cosine_top_k(points.join(payload, "chunk_id").select("vec_id", "vector", "payload"), asked, 10, "vec_id", digits=9)
+    return retrieval.cited(found, "vec_id").select("vec_id", F.col("chunk.id").alias("chunk_id"), F.round("score", 6).alias("score"), F.array_join(F.transform("citations", lambda c: F.coalesce(c["url"], F.lit(""))), "|").alias("citations"))
+
+
 _QUESTION = "Which option rebuilds the preconditioner of the linear solver?"
 
 

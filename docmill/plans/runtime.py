@@ -34,6 +34,8 @@ def ship_package(spark: SparkSession) -> None:
                     path = os.path.join(folder, name)
                     bundle.write(path, os.path.join("docmill", os.path.relpath(path, root)))
     spark.sparkContext.addPyFile(target)
+    # Executors fetch it as they start, so it stays until the driver ends.
+    atexit.register(lambda: os.path.exists(target) and os.remove(target))
     _SHIPPED.add(app)
 
 

@@ -174,7 +174,8 @@ _NAMES = "(SELECT DISTINCT substr(md5(id), 1, 8) AS a FROM parsed)"
 
 def _made(spark: SparkSession, sf_dir: str, template: str, doc: str, source: Source) -> DataFrame:
     """Sections of one document per section id, made from a template."""
-    names = _read(spark, sf_dir, "parsed").select(F.substring(F.md5("id"), 1, 8).alias("a")).distinct()
+    # Names are small and what is made of them is not: adaptive execution would join them to one task.
+    names = _read(spark, sf_dir, "parsed").select(F.substring(F.md5("id"), 1, 8).alias("a")).distinct().repartition(spark.sparkContext.defaultParallelism)
     fill = lambda text: F.replace(F.lit(text), F.lit("{A}"), F.col("a"))
     documents = names.select(F.lit(source.name).alias("source"), fill(doc).alias("doc"), F.encode(fill(template), "UTF-8").alias("content"))
     m = F.col("metadata")
@@ -457,7 +458,7 @@ SELECT t.id, l.kind, f.piece, CASE WHEN l.kind = 'code' THEN '```c' ELSE '| key
 FROM texts t JOIN lines l ON l.k <= t.n JOIN fold f ON f.kind = l.kind AND f.k = l.k GROUP BY t.id, l.kind, f.piece""")
 def block_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing and a table of as many rows as the length of each text gives, cut into pieces of 100 characters."""
-    rows = _read(spark, sf_dir, "parsed").select("id", (F.length("text") % 120 + 1).alias("n")).distinct().filter("n IS NOT NULL")
+    rows = _read(spark, sf_dir, "parsed").select("id", (F.length("text") % 120 + 1).alias("n")).distinct().filter("n IS NOT NULL").repartition(spark.sparkContext.defaultParallelism)
     both = rows.select("id", "n", F.explode(F.array(*map(F.lit, _FRAMES))).alias("kind")).withColumn("k", F.col("kind"))
     cut = each(both, lambda kind, n: chunking.pack_text(_framed(kind, n), 100), ["k", "n"], "pieces", T.ArrayType(T.StringType()))
     return cut.select("id", "kind", F.posexplode("pieces").alias("piece", "text"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docmill.plans.components import connected_components
+from docmill.llm.components import connected_components
 from docmill.plans.runtime import materialize, tasks_for
 
 #: The operator's own setting; queries may state another.

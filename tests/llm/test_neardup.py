@@ -5,7 +5,7 @@ from itertools import combinations
 import numpy as np
 
 from docmill.llm.neardup import BITS, NearDuplicates, ShingleHasher
-from docmill.plans.components import connected_components
+from docmill.llm.components import connected_components
 from tests.llm.data import DATA
 
 

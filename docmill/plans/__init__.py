@@ -1 +1 @@
-"""Shared dataflow plans: session set-up, lineage cuts, prefix sums, components."""
+"""Shared dataflow plans: session set-up, lineage cuts, prefix sums."""

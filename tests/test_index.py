@@ -138,6 +138,10 @@ def test_top_k_equals_brute_force(spark):
     relevant = spark.createDataFrame([(3, 3), (3, -1), (13, -1)], "query_id bigint, id bigint")
     report = {r.query_id: (r.recall, r.reciprocal_rank) for r in recall_at_k(batch_top_k(points, queries, 5, 8), relevant, 5).collect()}
     assert report == {3: (0.5, 1.0), 13: (0.0, 0.0)}
+    assert batch_top_k(points, queries.limit(0), 5, 8).count() == 0 and batch_top_k(points.limit(0), queries, 5, 8).count() == 0
+    ties = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(9)], "vec_id int, vector array<float>")
+    asked = ties.filter("vec_id = 4").selectExpr("vec_id AS query_id", "vector", "1 AS score")
+    assert [r.id for r in batch_top_k(ties, asked, 3, 2).orderBy("rank").collect()] == [0, 1, 2]
     with pytest.raises(ValueError):
         cosine_top_k(points, [0.0] * 8, 5)
 

@@ -9,7 +9,7 @@ from docmill.functions import expressions as ex
 from docmill.functions import html, markdown
 from docmill.functions.text import each
 from docmill.operators.sections import code_markdown
-from docmill.sources.config import Source, document_address, read_sources, select_sources
+from docmill.sources.config import Source, addressed, document_address, read_sources, select_sources
 from docmill.sources.crawl import corpus_size, download, fetch_url, listed, listed_files, listed_pages, provenance, tree_files
 from docmill.sources.scan import scan_pages
 
@@ -60,6 +60,13 @@ def test_choosing_pages(spark):
         tree_files(listing("true"), ["src/"], [".md"], "https://r").collect()
 
 
+def test_addresses_of_a_table(spark):
+    docs = spark.createDataFrame([("s", "a.md", "old"), ("none", "b.md", "old"), (None, None, "old")], "source string, doc string, url string")
+    sources = [Source("s", "markdown", ".", "https://x/{page}"), Source("s", "markdown", ".", "https://y/{page}")]
+    assert sorted((str(r.source), r.url) for r in addressed(docs, sources[:1]).collect()) == [("None", None), ("none", None), ("s", "https://x/a/")]
+    assert addressed(docs, sources).count() == 3 and addressed(docs.limit(0), []).count() == 0
+
+
 def test_download(spark):
     urls = listed_files(spark, "https://x/", ["a", "b"])
     rows = download(urls, lambda url: url.encode(), 2)

@@ -232,8 +232,10 @@ def remove_lines(sections: DataFrame, found: DataFrame) -> DataFrame:
     base = sections.select(*kept, F.col("id").alias("__key"))
     joined = base.join(marks.withColumnRenamed("id", "__key"), "__key", "left")
     parts = F.split("text", "\n")
-    # A set difference of line numbers, so that long texts with many such lines take linear time.
+    # A set difference of line numbers, so that long texts with many such lines take linear time; the split text
+    # is bound to a variable, or it would be split again for every line.
     left = F.array_except(F.sequence(F.lit(1), F.size(parts)), F.col("__drop"))
-    rest = F.transform(left, lambda k: F.get(parts, k - 1))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    bound = F.array(F.struct(parts.alias("lines"), left.alias("left")))
+    rest = F.get(F.transform(bound, lambda x: F.array_join(F.transform(x["left"], lambda k: F.get(x["lines"], k - 1)), "\n")), F.lit(0))
+    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(rest)
     return joined.select(*kept, text.alias("clean_text"), F.coalesce(F.size("__drop"), F.lit(0)).alias("n_removed"))

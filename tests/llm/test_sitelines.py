@@ -3,6 +3,7 @@ from collections import defaultdict
 from itertools import combinations
 
 from docmill.llm.sitelines import FrequentSequences, counted_lines, described, found_lines, frequent_lines, line_table, normal_line, remove_lines
+from docmill.plans.runtime import materialize
 from tests.llm.data import DATA
 
 
@@ -38,17 +39,17 @@ def test_sequences_and_removal(spark):
     cleaned = {r.id: r for r in remove_lines(df.withColumn("clean_text", df.text), found).collect()}
     assert cleaned["s3"].clean_text == "Unique text number d of this page here" and cleaned["s3"].n_removed == 2
     assert cleaned["null"].clean_text is None and cleaned["empty"].clean_text == "" and cleaned["other"].n_removed == 0
-    sequences = FrequentSequences(frequent_lines(line_table(df))).table().collect()
+    sequences = FrequentSequences(materialize(frequent_lines(line_table(df)), "lines")).table().collect()
     # The two lines always stand together: one item.
     assert [(r.length, len(r.lines), r.n_docs) for r in sequences] == [(1, 2, 9)]
-    assert found_lines(df.limit(0)).count() == 0 and FrequentSequences(frequent_lines(line_table(df.limit(0)))).table().count() == 0
+    assert found_lines(df.limit(0)).count() == 0 and FrequentSequences(materialize(frequent_lines(line_table(df.limit(0))), "lines")).table().count() == 0
     long = spark.createDataFrame([("x", "\n".join(["Share this page with your friends", "y"] * 20_000), "web", "d")], "id string, text string, source string, doc string")
     assert remove_lines(long, long.selectExpr("id", "explode(sequence(1, 40000, 2)) AS line_no")).first().n_removed == 20_000
 
 
 def mined(spark, rows, least=8):
     df = spark.createDataFrame(rows, "id string, text string, source string, doc string")
-    projected = frequent_lines(line_table(df), least)
+    projected = materialize(frequent_lines(line_table(df), least), "lines")
     return {(r.source, tuple(r.seq.split("\n"))): (r.length, r.n_lines, r.n_docs) for r in described(FrequentSequences(projected, least).table(), projected, df).collect()}
 
 
